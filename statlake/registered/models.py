@@ -249,7 +249,7 @@ _DICTIONARY = leaderboards.Dictionary.from_rows(
         TRY_CAST(j ->> 'wRC+' AS DOUBLE) AS wrc_plus
       FROM parsed)
     SELECT playerid, playerid AS fangraphs_id, season, season AS year_id, _1b, _1b AS singles, bb_pct,
-      bb_pct AS walk_percentage, name, teamid, teamid AS team_id, wrc_plus,
+      bb_pct AS walk_percentage, name, typed.teamid, typed.teamid AS team_id, wrc_plus,
       wrc_plus AS weighted_runs_created_plus, c.person_id, c.mlbam_id, c.baseball_reference_id,
       c.baseball_reference_minor_league_id, c.fangraphs_id AS register_fangraphs_id, c.first_name, c.last_name,
       i.yearID AS team_year_id, i.lgID AS league_id, i.teamID AS team_team_id, i.franchID AS franchise_id,
@@ -257,7 +257,7 @@ _DICTIONARY = leaderboards.Dictionary.from_rows(
       i.teamIDretro AS retrosheet_team_id,
       CASE WHEN i.teamID IS NOT NULL THEN """ + key_sql("i.yearID", "i.teamID") + """ END AS year_team_id
     FROM typed LEFT JOIN crosswalk c ON playerid = c.fangraphs_id
-    LEFT JOIN raw_team_ids i ON CAST(teamid AS VARCHAR) = i.teamIDfg AND CAST(season AS VARCHAR) = i.yearID
+    LEFT JOIN raw_team_ids i ON CAST(typed.teamid AS VARCHAR) = i.teamIDfg AND CAST(season AS VARCHAR) = i.yearID
     """),
 )
 def _(t: Tables):

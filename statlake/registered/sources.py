@@ -126,15 +126,13 @@ _FLAT_KNOWN = {
 }
 
 
+_FLAT_NAMES = [line.split()[0] for line in payloads.GAME_PATHS.strip().splitlines()]
+
+
 @REGISTRY.add(
     "nested_flatten",
-    "SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in _FLAT_KNOWN.items()) + " FROM orders",
+    "SELECT " + ", ".join(f"{_FLAT_KNOWN.get(name, 'NULL')} AS {name}" for name in _FLAT_NAMES) + " FROM orders",
 )
-def _(t: Tables):
-    return payloads.flat_games(_games(t)).select(*_FLAT_KNOWN)
-
-
-@REGISTRY.add("nested_flatten_all_columns")
 def _(t: Tables):
     return payloads.flat_games(_games(t))
 

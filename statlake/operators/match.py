@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -17,16 +17,28 @@ from statlake.operators.joins import left_enrich
 THRESHOLD = 0.6
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
+def similarity(left: str, right: str) -> float:
     """Ratio of matching characters of two names, upper-cased."""
-    return pd.Series(
-        [
-            None if a is None or b is None else SequenceMatcher(None, a.upper(), b.upper()).ratio()
-            for a, b in zip(left, right)
-        ],
-        dtype="float64",
-    )
+    return SequenceMatcher(None, left.upper(), right.upper()).ratio()
+
+
+def _keep_similar(threshold: float):
+    """Score batches of pairs; the two quick ratios are upper bounds that save most full ones."""
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = SequenceMatcher(None)
+        for batch in batches:
+            scores = pd.Series(0.0, index=batch.index)
+            # The matcher indexes its second text once per distinct text.
+            for other, names in batch.groupby("other")["name"]:
+                matcher.set_seq2(other.upper())
+                for i, name in names.items():
+                    matcher.set_seq1(name.upper())
+                    if matcher.real_quick_ratio() >= threshold and matcher.quick_ratio() >= threshold:
+                        scores[i] = matcher.ratio()
+            yield batch.assign(score=scores)[scores >= threshold]
+
+    return score
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -81,7 +93,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = THRESHOL
     share = threshold / (2 - threshold) - 1e-9
     near = (F.col("length") >= F.col("other_length") * share) & (F.col("other_length") >= F.col("length") * share)
     pairs = a.join(b, ["block", "letter"]).where(near).select("block", "name", "other").distinct()
-    return pairs.withColumn("score", similarity("name", "other")).where(F.col("score") >= threshold)
+    schema = T.StructType([*pairs.schema.fields, T.StructField("score", T.DoubleType())])
+    return pairs.mapInPandas(_keep_similar(threshold), schema)
 
 
 def best_matches(

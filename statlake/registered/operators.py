@@ -263,16 +263,12 @@ def _(t: Tables):
     return found.select("p_partkey", "p_type", "p_size", "rounds")
 
 
-@REGISTRY.add(
-    "best_match",
-    None,
-)
+@REGISTRY.add("best_match")
 def _(t: Tables):
-    wanted = t.part.select(
-        "p_partkey", F.col("p_type").alias("season"), F.concat_ws(" ", "p_name", "p_brand").alias("team")
-    )
-    candidates = t.part.where(F.col("p_size") < 6).select(
-        F.col("p_type").alias("season"), F.concat_ws(" ", "p_name", F.lit("Brand")).alias("team"),
+    digit = (F.col("p_partkey") % 10).cast("string")
+    wanted = t.part.select("p_partkey", F.col("p_type").alias("season"), F.concat("p_name", digit).alias("team"))
+    candidates = t.part.select(
+        F.col("p_type").alias("season"), F.col("p_name").alias("team"),
         F.col("p_partkey").alias("place"), F.col("p_partkey").alias("best_part"),
     )
     return match.best_matches(wanted, candidates, "season", "team", "place", ["best_part"])

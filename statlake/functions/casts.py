@@ -14,7 +14,9 @@ _EXACT = "decimal(38,18)"
 
 
 def _whole(column: Column, target: str) -> Column:
-    return F.round(column.try_cast(_EXACT), 0).try_cast(target)
+    text = column.cast("string")
+    # Plain digits, the usual case, skip the costly decimal step.
+    return F.coalesce(text.try_cast(target), F.round(text.try_cast(_EXACT), 0).try_cast(target))
 
 
 def parse_int(column: Column) -> Column:

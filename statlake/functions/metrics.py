@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 def round_half_away(value: Column, digits: int) -> Column:
     """Round a double on its binary value: 1.005 to two digits is 1.0, not 1.01."""
     scale = float(10**digits)
-    return F.round(value * scale, 0) / scale
+    scaled = value * scale
+    nearest = F.rint(scaled)
+    # rint() sends ties to the even side; a tie goes away from zero here.
+    whole = F.when(F.abs(scaled - nearest) == 0.5, scaled + F.signum(scaled) * 0.5).otherwise(nearest)
+    # Adding zero turns a negative zero into zero.
+    return (whole + 0.0) / scale
 
 
 def safe_divide(dividend: Column, divisor: Column, digits: int = 0) -> Column:

@@ -22,8 +22,7 @@ NULL_KEY_BUCKETS = 256
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where the session does not expose it."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
@@ -43,12 +42,15 @@ def left_enrich(
     keys: Mapping[str, str],
     take: Sequence[str] | Mapping[str, str],
     limit: int = BROADCAST_LIMIT,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Left join on ``{fact column: dimension column}``, adding the ``take`` columns.
 
     Repeated dimension keys multiply fact rows as in any join. Null keys never match, so they
-    are dropped from the dimension; on a shuffled join the fact rows with a null key are
-    spread over buckets that the dimension does not have.
+    are dropped from the dimension. In a shuffled join all fact rows with a null key would go
+    to one task; where many are expected, name a few well-spread columns in ``spread``: those
+    rows are then scattered by them over buckets that the dimension does not have. Hot keys
+    that do match are left to adaptive skew handling, which can split the fact side.
     """
     names = dict(take) if isinstance(take, Mapping) else {name: name for name in take}
     key_columns = {f"__key_{i}": pair for i, pair in enumerate(keys.items())}
@@ -57,15 +59,16 @@ def left_enrich(
         *[F.col(source).alias(f"__take_{alias}") for source, alias in names.items()],
     ).dropna(subset=list(key_columns))
     condition = [F.col(left) == F.col(alias) for alias, (left, _) in key_columns.items()]
+    left = fact
     if is_small(side, limit):
-        joined = fact.join(F.broadcast(side), condition, "left")
-    else:
-        has_null = reduce(Column.__or__, [F.col(left).isNull() for left in keys])
-        spread = F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_KEY_BUCKETS)).cast("int") + 1
-        salted = fact.withColumn("__salt", F.when(has_null, spread).otherwise(0))
-        side = side.withColumn("__side_salt", F.lit(0))
-        condition.append(F.col("__salt") == F.col("__side_salt"))
-        joined = salted.join(side, condition, "left")
+        side = F.broadcast(side)
+    elif spread:
+        has_null = reduce(Column.__or__, [F.col(name).isNull() for name in keys])
+        bucket = F.pmod(F.xxhash64(*spread), F.lit(NULL_KEY_BUCKETS)).cast("int") + 1
+        left = fact.withColumn("__bucket", F.when(has_null, bucket).otherwise(0))
+        side = side.withColumn("__side_bucket", F.lit(0))
+        condition.append(F.col("__bucket") == F.col("__side_bucket"))
+    joined = left.join(side, condition, "left")
     return joined.select(*fact.columns, *[F.col(f"__take_{a}").alias(a) for a in names.values()])
 
 
@@ -126,6 +129,8 @@ def conditional_key_enrich(
     id_column: str,
     id_types: Mapping[str, str],
     take: Sequence[str],
+    limit: int = BROADCAST_LIMIT,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Left join whose dimension key depends on a type column, ``{type: dimension column}``.
 
@@ -148,8 +153,8 @@ def conditional_key_enrich(
         "__typed_id",
         F.when(F.col(type_column).isin(*id_types), F.col(id_column).cast("string")),
     )
-    names = {name: name for name in take}
-    return left_enrich(keyed, side, {type_column: "__kind", "__typed_id": "__id"}, names).drop("__typed_id")
+    typed = {type_column: "__kind", "__typed_id": "__id"}
+    return left_enrich(keyed, side, typed, take, limit, spread).drop("__typed_id")
 
 
 def range_value(

@@ -191,6 +191,7 @@ def draft_results(raw: DataFrame, crosswalk: DataFrame) -> DataFrame:
             "baseball_reference_minor_league_id": "baseball_reference_minor_league_id",
         },
         ["person_id"],
+        spread=["year", "rnd", "rdpck"],
     )
     picks = found.select(
         F.col("year").alias("year_id"),

@@ -14,8 +14,9 @@ def _texts(names: str, formula: str, null_every: int = 13) -> str:
     items = []
     for i, name in enumerate(names.split(), start=3):
         value = formula.format(i=i)
+        value = value if "STRING" in value else f"CAST({value} AS STRING)"
         items.append(
-            f"CASE WHEN (l_orderkey + {i}) % {null_every} = 0 THEN NULL ELSE CAST({value} AS STRING) END AS {name}"
+            f"CASE WHEN (l_orderkey + {i}) % {null_every} = 0 THEN NULL ELSE {value} END AS {name}"
         )
     return ", ".join(items)
 
@@ -245,7 +246,13 @@ _WAR_IDENTITY = (
 
 
 def _war(names: str) -> str:
-    return _texts(names, "CAST(((l_orderkey * {i} + l_partkey) % 3001) / 100.0 AS DECIMAL(10,4))", 17)
+    """Numbers with two decimals as text, from whole numbers."""
+    hundredths = "((l_orderkey * {i} + l_partkey) % 3001)"
+    return _texts(
+        names,
+        f"CAST(floor({hundredths} / 100) AS BIGINT) || '.' || lpad(CAST({hundredths} % 100 AS STRING), 2, '0')",
+        17,
+    )
 
 
 _BATTING_WAR = """

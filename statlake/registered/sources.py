@@ -99,9 +99,9 @@ to_json(named_struct('dates', array(named_struct('date', date_format(o_orderdate
 
 
 def _games(t: Tables):
-    texts = t.orders.select(F.expr(_GAME).alias("payload"))
-    parsed = texts.select(F.from_json("payload", payloads.PAYLOAD_SCHEMA).alias("p")).select("p.*")
-    return payloads.games_of(parsed)
+    path = work_dir(t.spark, "payloads")
+    t.orders.select(F.expr(_GAME).alias("payload")).write.text(path)
+    return payloads.games_of(payloads.read_schedule_payloads(t.spark, path))
 
 
 _FLAT_KNOWN = {

@@ -13,6 +13,11 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM does not compile methods above 8000 bytes of code. A fused stage of a wide model
+    # is larger and would be interpreted; below this limit Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

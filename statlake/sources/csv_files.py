@@ -155,8 +155,9 @@ def read_season_schedules(spark: SparkSession, root: str) -> DataFrame:
         .csv(root)
         .withColumn("__file", F.col("_metadata.file_path"))
     )
-    # A header row has the same width as its file and no header is needed to know it.
-    widths = raw.groupBy("__file").agg(F.max(F.col("__short_row").isNull()).alias("__full"))
+    # Spark does not answer from the complaint column alone; a row that counts has a date.
+    full = F.col("__short_row").isNull() & F.col(columns[0]).isNotNull()
+    widths = raw.groupBy("__file").agg(F.max(full).alias("__full"))
     rows = raw.where(F.col(columns[0]) != "Date").join(hint_if_small(widths), "__file")
     at = columns.index("location")
     shifted = [

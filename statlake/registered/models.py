@@ -721,7 +721,7 @@ def _game_log_sql() -> str:
 
 @REGISTRY.add("model_game_logs", _game_log_sql())
 def _(t: Tables):
-    logs = {kind: t.sql(sql) for kind, sql in _log_sources().items()}
+    logs = {kind: t.sql(sql, wide=True) for kind, sql in _log_sources().items()}
     return game_logs.game_logs(game_logs.union_game_types(logs))
 
 
@@ -767,10 +767,10 @@ def _pitch_sql() -> str:
 
 @REGISTRY.add("model_pitches", _pitch_sql())
 def _(t: Tables):
-    return pitches.pitches(t.sql(f"SELECT {_PITCH_ITEMS} FROM lineitem"), t.crosswalk)
+    return pitches.pitches(t.sql(f"SELECT {_PITCH_ITEMS} FROM lineitem", wide=True), t.crosswalk)
 
 
 # The same model by the plan for a register too large to broadcast.
 @REGISTRY.add("model_pitches_large_register", _pitch_sql())
 def _(t: Tables):
-    return pitches.pitches(t.sql(f"SELECT {_PITCH_ITEMS} FROM lineitem"), t.crosswalk, limit=-1)
+    return pitches.pitches(t.sql(f"SELECT {_PITCH_ITEMS} FROM lineitem", wide=True), t.crosswalk, limit=-1)

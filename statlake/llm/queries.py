@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import quality, topk, toxicity, warc
+from statlake.llm import packing, quality, simhash, topk, toxicity, warc
 from statlake.registered.base import Registry
 
 REGISTRY = Registry()
@@ -42,3 +42,13 @@ def op5_warc_round_trip(t):
 @REGISTRY.add("op9_toxicity_counterfactual")
 def op9_toxicity_counterfactual(t):
     return toxicity.classify(t.documents, t.labels)
+
+
+@REGISTRY.add("op4_simhash_vantage_trees")
+def op4_simhash_vantage_trees(t):
+    return simhash.near_duplicates(t.documents)
+
+
+@REGISTRY.add("op7_exact_complement_packing")
+def op7_exact_complement_packing(t):
+    return packing.pack(t.documents)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import packing, quality, simhash, topk, toxicity, warc
+from statlake.llm import packing, quality, simhash, substring, topk, toxicity, warc
 from statlake.registered.base import Registry
 
 REGISTRY = Registry()
@@ -52,3 +52,8 @@ def op4_simhash_vantage_trees(t):
 @REGISTRY.add("op7_exact_complement_packing")
 def op7_exact_complement_packing(t):
     return packing.pack(t.documents)
+
+
+@REGISTRY.add("op6_prefix_suffix_trees")
+def op6_prefix_suffix_trees(t):
+    return substring.digests(t.documents)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from statlake.llm import packing, quality, simhash, substring, topk, toxicity, warc
+from statlake.llm import decontam, packing, quality, simhash, substring, topk, toxicity, warc
 from statlake.registered.base import Registry
 
 REGISTRY = Registry()
 
 
+@REGISTRY.add("op1_latent_decontamination")
+def op1_latent_decontamination(t):
+    return decontam.contaminated(t.documents, t.benchmark).drop("version")
+
+
 @REGISTRY.add("op2_quality_discriminant")
 def op2_quality_discriminant(t):
     return quality.classify(t.documents, t.labels)

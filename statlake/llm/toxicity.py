@@ -212,7 +212,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
         .filter(F.col("label").isin(0, 1) & ~held_out(5, 0))
         .dropDuplicates(["doc_id"])
     )
-    return docs.select(id_column(docs), blob()).join(marks, "doc_id")
+    # Hinted, so that the same join is planned whatever the size of the labels.
+    return docs.select(id_column(docs), blob()).filter(~held_out(5, 0)).join(marks.hint("merge"), "doc_id")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **params) -> DataFrame:

@@ -39,7 +39,8 @@ def _term(word: bytes) -> int:
 
 
 def terms(text: bytes | None, cache: WordCache) -> np.ndarray:
-    words = (text or b"").lower().split()
+    """Term hashes of a lower-case text."""
+    words = (text or b"").split()
     return np.fromiter(map(cache.__getitem__, words), np.uint32, len(words))
 
 
@@ -51,7 +52,8 @@ def tokens(docs: DataFrame) -> DataFrame:
         for doc_id, version, text in rows:
             yield doc_id, version, terms(text, cache).tobytes()
 
-    columns = docs.select(id_column(docs), F.xxhash64(blob()).alias("version"), blob())
+    low = F.lower(F.col("text").cast("string")).cast("binary").alias("text")
+    columns = docs.select(id_column(docs), F.xxhash64(blob()).alias("version"), low)
     return map_rows(columns, run, "doc_id bigint, version bigint, terms binary", 1024)
 
 
@@ -65,7 +67,7 @@ class Item:
 
 
 def items(rows) -> list[Item]:
-    """From (item_id, text) rows; items without words are left out."""
+    """From (item_id, lower-case text) rows; items without words are left out."""
     cache, found = WordCache(_term), []
     for item_id, text in rows:
         raw = (text or "").encode()
@@ -311,7 +313,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     schema = "doc_id bigint, version bigint, item_id bigint, cosine double, first_word int, n_words int, common double, answered boolean"
-    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
     slices = -(-rows.count() // SLICE_ITEMS)
     results = []
     table = written(tokens(docs), "terms") if slices else None

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import WordCache, blob, id_column, map_rows, shuffle_width, written
+from statlake.llm.common import WordCache, blob, id_column, map_rows, summed, written
 
 #: Latent dimensions, extra sketch columns; words of a block and of a document passage.
 RANK, EXTRA, BLOCK, PASSAGE = 64, 8, 8, 32
@@ -160,21 +160,6 @@ def _sketch(rows: np.ndarray, starts: np.ndarray, weight: np.ndarray, test: np.n
     out[held[border]] += np.add.reduceat(z[passage[order]] * w[order][:, None], border, axis=0)
 
 
-def summed(parts: DataFrame) -> DataFrame:
-    """(key, data) with the float32 arrays of equal key added up, spread over tasks by key."""
-
-    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        held: dict[int, np.ndarray] = {}
-        for key, data in rows:
-            value = np.frombuffer(data, np.float32).astype(np.float64)
-            held[key] = held[key] + value if key in held else value
-        yield from ((key, value.astype(np.float32).tobytes()) for key, value in held.items())
-
-    schema = "key int, data binary"
-    dealt = parts.repartition(min(64, shuffle_width(parts)), "key")
-    return map_rows(dealt, run, schema, 16)
-
-
 def latent_space(table: DataFrame, benchmark: list[Item], space: Space, weight: np.ndarray, passages: int) -> np.ndarray:
     """(term rows x RANK) leading right singular directions, by a one-pass randomised SVD."""
     columns, block = RANK + EXTRA, 512

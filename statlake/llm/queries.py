@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontam, packing, quality, simhash, substring, topk, toxicity, warc
+from statlake.llm import decontam, language, packing, quality, simhash, substring, topk, toxicity, warc
 from statlake.registered.base import Registry
 
 REGISTRY = Registry()
@@ -62,3 +62,8 @@ def op7_exact_complement_packing(t):
 @REGISTRY.add("op6_prefix_suffix_trees")
 def op6_prefix_suffix_trees(t):
     return substring.digests(t.documents)
+
+
+@REGISTRY.add("op8_byte_gru_language")
+def op8_byte_gru_language(t):
+    return language.identify(t.documents)

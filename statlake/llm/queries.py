@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontam, language, packing, quality, simhash, substring, topk, toxicity, warc
+from statlake.llm import decontam, language, lm, packing, quality, simhash, substring, topk, toxicity, warc
 from statlake.registered.base import Registry
 
 REGISTRY = Registry()
@@ -67,3 +67,8 @@ def op6_prefix_suffix_trees(t):
 @REGISTRY.add("op8_byte_gru_language")
 def op8_byte_gru_language(t):
     return language.identify(t.documents)
+
+
+@REGISTRY.add("op10_log_bilinear_scores")
+def op10_log_bilinear_scores(t):
+    return lm.score(t.documents)

@@ -46,14 +46,15 @@ def fingerprint(text: bytes | None, size: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number."""
+    """(doc_id, version, fp): a hash of the text and the fingerprint as a signed 64-bit number."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for doc_id, text in rows:
+        for doc_id, version, text in rows:
             fp = fingerprint(text, size)
-            yield doc_id, fp - (1 << 64) if fp >> 63 else fp
+            yield doc_id, version, fp - (1 << 64) if fp >> 63 else fp
 
-    return map_rows(docs.select(id_column(docs), blob()), run, "doc_id bigint, fp bigint")
+    columns = docs.select(id_column(docs), F.xxhash64(blob()).alias("version"), blob())
+    return map_rows(columns, run, "doc_id bigint, version bigint, fp bigint")
 
 
 def _apart(a: np.ndarray, b) -> np.ndarray:
@@ -174,6 +175,8 @@ def _compare(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def near_links(distinct: DataFrame) -> DataFrame:
     """(a, b): links among distinct fingerprints ``fp`` that connect all within the radius."""
     n = distinct.count()
+    if not n:
+        return distinct.sparkSession.createDataFrame([], "a bigint, b bigint")
     shards = int(np.clip(-(-n // SHARD_ROWS), 1, MOST_SHARDS))
     taken = distinct.orderBy(F.xxhash64("fp"), "fp").limit(min(TREE_SAMPLE, 16 * shards + 64)).select("fp").collect()
     sample = np.array([r["fp"] for r in taken], np.int64).view(np.uint64)
@@ -235,23 +238,46 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def near_duplicates(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``.
-
-    Null and empty texts have fingerprint zero and link like any other. Rows without id link the others
-    but lend no component_id (null if no row of the component has an id); repeated rows each appear.
-    An empty table gives an empty result; other columns of ``docs`` are ignored.
-    """
+def classes(docs: DataFrame, size: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Written tables: (doc_id, version, fp) of every row, and (fp, root, component_id) of every fingerprint."""
     prints = written(fingerprints(docs, size), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    if distinct.isEmpty():
-        return docs.sparkSession.createDataFrame([], "doc_id bigint, fingerprint string, component_id bigint")
     roots = components(near_links(distinct))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = written(rooted.join(ids, "root").select("fp", "component_id"), "classes")
-    return prints.join(classes, "fp", "left").select(
+    return prints, written(rooted.join(ids, "root").select("fp", "root", "component_id"), "classes")
+
+
+def near_duplicates(docs: DataFrame, size: int = 3) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``.
+
+    Null and empty texts have fingerprint zero and link like any other. Rows without id link the others
+    but lend no component_id (null if no row of the component has an id); repeated rows each appear.
+    An empty table gives an empty result; other columns of ``docs`` are ignored.
+    """
+    prints, found = classes(docs, size)
+    return prints.join(found, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one of smallest id.
+
+    Among equal ids the one of least text hash; of rows of equal id and text one. A row without id stays
+    only if no row of its component has an id.
+    """
+    prints, found = classes(docs, size)
+    rows = prints.groupBy("doc_id", "version", "fp").agg(F.count("*").alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id"), F.col("version"), F.col("copies"))
+    best = rows.join(found.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("best"))
+    kept = best.select(
+        F.col("best.doc_id").alias("__id"), F.col("best.version").alias("__version"), F.col("best.copies").alias("__copies")
+    )
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(blob()) == F.col("__version"))
+    joined = docs.join(kept, same)
+    single = joined.filter("__copies = 1").select(*docs.columns)
+    repeated = joined.filter("__copies > 1").dropDuplicates(["__id", "__version"]).select(*docs.columns)
+    return single.unionByName(repeated)

@@ -230,3 +230,17 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **param
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, all columns as they are."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        cache = WordCache(model.columns)
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([model.score(sorted(_present(t, cache))) < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -16,7 +16,7 @@ from statlake.session import work_dir
 #: Most bytes of text in one block of documents that a Python task holds.
 BLOCK_BYTES = 8 << 20
 #: Most entries of a per-worker word cache; it is emptied beyond.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 def blob(name: str = "text") -> Column:
@@ -98,6 +98,19 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
+def in_groups(rows: Iterable[tuple], size: int = 2 << 20) -> Iterator[list[tuple]]:
+    """Rows in lists of about ``size`` bytes of their last value, a text."""
+    held, total = [], 0
+    for row in rows:
+        held.append(row)
+        total += len(row[-1] or b"")
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 class WordCache(dict):
     """Remembers ``make(word)``; forgets everything when it has grown too large."""
 
@@ -112,6 +125,12 @@ class WordCache(dict):
         return value
 
 
+def sampled(df: DataFrame, n: int, total: int, *keys: str) -> DataFrame:
+    """About ``n`` of ``total`` rows (all if fewer), by a hash of their keys: each task picks its own."""
+    share = min(1.0, 1.2 * n / max(1, total))
+    return df.filter(F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def id_column(df: DataFrame, name: str = "doc_id") -> Column:
     return F.col(name).cast("bigint").alias(name)
 

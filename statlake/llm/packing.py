@@ -16,10 +16,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlake.llm.common import WordCache, blob, id_column, map_rows, written
+from statlake.llm.common import blob, id_column, in_groups, map_rows, written
 
 CAPACITY, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
+#: Marks that follow letters as one unit of the tokenizer.
+_MARKS = ".,;:!?\")]}*#$%&|-_/+=~"
 #: Rows of equal length that one task ranks.
 RANK_ROWS = 50_000
 
@@ -30,32 +32,80 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=4)
-def _encoder(path: str) -> WordCache:
-    """Token ids, as little-endian bytes, of a word between ASCII white space.
+class Encoder:
+    """Token ids, as little-endian bytes, of words between ASCII white space.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words.
+    Words not met before are encoded together: plain letters of Latin-1, which lower one by one and are
+    one unit each, in one text, other words alone.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-
-    def ids(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    plain = WordCache(ids)
-
-    def word(raw: bytes) -> bytes:
-        text = raw.decode()
-        # Letters of Latin-1 lower one by one, and a mark after letters is a token of its own.
-        if max(text) < "Ā":
-            core, mark = (text[:-1], text[-1]) if text[-1] in ".," else (text, "")
-            if core.isalpha():
-                return plain[core.lower()] + (plain[mark] if mark else b"")
-        return ids(text)
-
-    return WordCache(word)
+    def __init__(self, path: str, limit: int = 150_000):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.limit = limit
+        # Two generations each: what is met again outlives the change.
+        self.words: dict[bytes, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.old_cores: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Encodes what is missing of ``words``."""
+        if len(self.words) > self.limit:
+            self.words, self.old_words = {}, self.words
+        if len(self.cores) > self.limit:
+            self.cores, self.old_cores = {}, self.cores
+        if len(self.marks) > self.limit:
+            self.marks = {"": b""}
+        missing = words - self.words.keys()
+        known = missing & self.old_words.keys()
+        self.words.update((w, self.old_words[w]) for w in known)
+        split: list[tuple[bytes, str, str]] = []
+        for raw in missing - known:
+            text = raw.decode()
+            core = text.rstrip(_MARKS)
+            if core.isalpha() and max(core) < "\u0100":
+                split.append((raw, core.lower(), text[len(core) :]))
+            else:
+                self.words[raw] = self.alone(text)
+        wanted = {core for _, core, _ in split} - self.cores.keys()
+        known_cores = wanted & self.old_cores.keys()
+        self.cores.update((c, self.old_cores[c]) for c in known_cores)
+        self._together(sorted(wanted - known_cores))
+        for raw, core, mark in split:
+            if mark not in self.marks:
+                self.marks[mark] = self.alone(mark)
+            self.words[raw] = self.cores[core] + self.marks[mark] if mark else self.cores[core]
+
+    def _together(self, cores: list[str]) -> None:
+        for at in range(0, len(cores), 1000):
+            some = cores[at : at + 1000]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            unit = np.array(found.word_ids)
+            ids = np.array(found.ids, "<u4").tobytes()
+            border = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]).tolist()
+            if len(border) != len(some):
+                raise ValueError("a plain word is more than one unit to the tokenizer")
+            for core, a, b in zip(some, border, [*border[1:], len(unit)]):
+                self.cores[core] = ids[4 * a : 4 * b]
+
+    def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
+        split = [(text or b"").split() for text in texts]
+        self.learn(set().union(*split))
+        for words in split:
+            yield b"".join(map(self.words.__getitem__, words))
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def token_pieces(
@@ -66,12 +116,13 @@ def token_pieces(
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         encoder = _encoder(path or tokenizer_path())
         end = np.array([end_id], "<u4").tobytes()
-        for doc_id, text in rows:
-            ids = b"".join(map(encoder.__getitem__, (text or b"").split())) + end
-            for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                part = ids[at : at + 4 * capacity]
-                row = doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)
-                yield (*row, part) if with_ids else row
+        for held in in_groups(rows):
+            for (doc_id, _), ids in zip(held, encoder.encode([text for _, text in held])):
+                ids += end
+                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[at : at + 4 * capacity]
+                    row = doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)
+                    yield (*row, part) if with_ids else row
 
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     return map_rows(docs.select(id_column(docs), blob()), run, schema, 256 if with_ids else 4096)
@@ -100,7 +151,7 @@ class _Counts:
         if gap % 2 == 0 and gap and self.n[gap // 2] < 2:
             fits[-1] = False
         found = np.flatnonzero(fits)
-        return (int(gap - small[found[0]]), int(small[found[0]])) if len(found) else ()
+        return (int(gap - small[found[-1]]), int(small[found[-1]])) if len(found) else ()
 
     def triple(self, gap: int) -> tuple[int, ...]:
         if self._sums is None:  # lengths that two held lengths sum to

@@ -17,10 +17,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import blob, id_column, map_rows, written
+from statlake.llm.common import blob, id_column, map_rows, sampled, written
 
 BITS, RADIUS, HALF_RADIUS = 64, 3, 1
-#: Fingerprints from which the sending trees are fitted, at most; rows wanted in a shard.
+#: Fingerprints from which the sending trees are fitted, about; rows wanted in a shard.
 TREE_SAMPLE, SHARD_ROWS, MOST_SHARDS = 131_072, 4_000, 16_384
 _SMALL, _MATRIX = 256, 1024
 
@@ -178,8 +178,8 @@ def near_links(distinct: DataFrame) -> DataFrame:
     if not n:
         return distinct.sparkSession.createDataFrame([], "a bigint, b bigint")
     shards = int(np.clip(-(-n // SHARD_ROWS), 1, MOST_SHARDS))
-    taken = distinct.orderBy(F.xxhash64("fp"), "fp").limit(min(TREE_SAMPLE, 16 * shards + 64)).select("fp").collect()
-    sample = np.array([r["fp"] for r in taken], np.int64).view(np.uint64)
+    taken = sampled(distinct, min(TREE_SAMPLE, 16 * shards + 64), n, "fp").select("fp").collect()
+    sample = np.array(sorted(r["fp"] for r in taken), np.int64).view(np.uint64)
     low, high = np.uint64(0xFFFFFFFF), np.uint64(32)
     trees = [build_tree(sample >> high, HALF_RADIUS, shards), build_tree(sample & low, HALF_RADIUS, shards)]
 

@@ -15,11 +15,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlake.llm.common import map_rows, written
+from statlake.llm.common import map_rows, sampled, written
 
 #: Rows of an annulus block and queries of a query block that meet in one task.
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 4_096
-#: Rows from which pivots are chosen, at most.
+#: Rows from which pivots are chosen, about.
 PIVOT_SAMPLE = 4_096
 RINGS = 4
 
@@ -57,7 +57,8 @@ class Index:
 
     def __init__(self, rows: DataFrame, dim: int, n: int, most: float):
         self.dim, self.most = dim, most
-        sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).select("v", "norm2").collect()
+        chosen = sampled(rows, PIVOT_SAMPLE, n, "vec_id").select("v", "norm2", "vec_id")
+        sample = sorted(chosen.collect(), key=lambda r: r["vec_id"]) or rows.select("v", "norm2").limit(1).collect()
         lifted = _lift(
             np.array([np.frombuffer(r["v"]) for r in sample]), np.array([r["norm2"] for r in sample]), most
         )

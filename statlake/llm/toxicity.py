@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import WordCache, blob, held_out, id_column, map_rows, written
+from statlake.llm.common import WordCache, blob, held_out, id_column, map_rows, sampled, written
 
 #: Groups whose naming alone is no insult; a parameter of ``fit``.
 IDENTITY_TERMS = """
@@ -103,8 +103,8 @@ def fit(
 ) -> Model:
     """A model from ``rows`` (doc_id, text as bytes, label 0/1).
 
-    Class counts cover every row. The weights are fitted on at most ``sample`` rows of each class,
-    those of smallest id hash. Without rows of both classes the score is their share (0 without any).
+    Class counts cover every row. The weights are fitted on about ``sample`` rows of each class, chosen
+    by id hash. Without rows of both classes the score is their share (0 without any).
     ``penalty`` weighs the counterfactual term.
     """
     totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -128,7 +128,7 @@ def fit(
     for term in terms:
         names.update(dict.fromkeys(word_features(term)))
     model = Model({name: i for i, name in enumerate(names)}, np.zeros(len(names)), 0.0)
-    x, y, swaps = _sample(rows, model, terms, sample)
+    x, y, swaps = _sample(rows, model, terms, sample, totals)
     counter = penalty * (swaps.T @ swaps) / max(1, len(swaps)) * len(y) ** 0.5
     prior = np.log(positives / negatives) - np.log(max(1, (y > 0).sum()) / max(1, (y == 0).sum()))
     weights, bias = np.zeros(len(names)), 0.0
@@ -148,7 +148,7 @@ def fit(
     return Model(model.features, weights, float(bias))
 
 
-def _sample(rows: DataFrame, model: Model, terms: list[bytes], size: int):
+def _sample(rows: DataFrame, model: Model, terms: list[bytes], size: int, totals: dict[int, int]):
     """Feature matrix, labels and counterfactual differences of a bounded sample.
 
     Only the columns that a document holds reach the driver, never its text.
@@ -165,9 +165,8 @@ def _sample(rows: DataFrame, model: Model, terms: list[bytes], size: int):
                     mentioned.update({w.strip(PUNCTUATION) for w in sentence.split()} & known.keys())
             yield sorted(_present(low, cache)), int(label), sorted(mentioned)
 
-    order = F.xxhash64("doc_id")
     parts = [
-        rows.filter(F.col("label") == label).orderBy(order, "doc_id").limit(size).select("text", "label")
+        sampled(rows.filter(F.col("label") == label), size, totals.get(label, 0), "doc_id").select("text", "label")
         for label in (0, 1)
     ]
     taken = map_rows(

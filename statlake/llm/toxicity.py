@@ -96,8 +96,9 @@ def fit(
     rows: DataFrame,
     identity_terms: Iterable[str] = tuple(IDENTITY_TERMS),
     n_features: int = 1024,
+    least_ratio: float = 15.0,
     sample: int = 6000,
-    ridge: float = 2.0,
+    ridge: float = 0.1,
     penalty: float = 20.0,
     steps: int = 25,
 ) -> Model:
@@ -105,6 +106,7 @@ def fit(
 
     Class counts cover every row. The weights are fitted on about ``sample`` rows of each class, chosen
     by id hash. Without rows of both classes the score is their share (0 without any).
+    Features are those more frequent in toxic rows than chance explains (``least_ratio``).
     ``penalty`` weighs the counterfactual term.
     """
     totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -112,12 +114,16 @@ def fit(
     if not positives or not negatives:
         share = (positives + 1e-6) / (positives + negatives + 1.0)
         return Model({}, np.zeros(0), float(np.log(share / (1 - share))))
-    p = (F.col("positive") + 0.5) / (positives + 1.0)
-    n = (F.col("negative") + 0.5) / (negatives + 1.0)
-    telling = F.abs(F.log(p / n)) * F.sqrt(F.abs(p - n))
+    # Log-likelihood ratio of a feature's counts against equal shares in both classes.
+    both = F.col("positive") + F.col("negative")
+    share = positives / (positives + negatives)
+    telling = 2 * (
+        F.col("positive") * F.log((F.col("positive") + 1e-9) / (both * share))
+        + F.col("negative") * F.log((F.col("negative") + 1e-9) / (both * (1 - share)))
+    )
     chosen = (
         class_counts(rows)
-        .filter(F.col("positive") + F.col("negative") >= 3)
+        .filter((F.col("positive") > both * share) & (telling >= least_ratio))
         .orderBy(telling.desc(), "feature")
         .limit(n_features)
         .select("feature")

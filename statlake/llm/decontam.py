@@ -148,16 +148,17 @@ def document_frequency(table: DataFrame, space: Space) -> tuple[np.ndarray, int]
 
 
 def _sketch(rows: np.ndarray, starts: np.ndarray, weight: np.ndarray, test: np.ndarray, out: np.ndarray) -> None:
-    """Adds A'A * test of unit-length passages to ``out``."""
+    """Adds A'A * test of unit-length passages to ``out``, but for the terms' weights on both sides:
+    ``test`` comes multiplied by them and ``out`` is multiplied at the end."""
     w = weight[rows]
     n = np.diff(np.r_[starts, len(rows)])
     length2 = np.maximum(np.add.reduceat(w * w, starts), 1e-9)
-    z = np.add.reduceat(test[rows] * w[:, None], starts, axis=0) / length2[:, None]
+    z = np.add.reduceat(test[rows], starts, axis=0) / length2[:, None]
     passage = np.repeat(np.arange(len(starts)), n)
     order = np.argsort(rows.astype(np.uint16) if len(out) < 1 << 16 else rows, kind="stable")
     held = rows[order]
     border = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
-    out[held[border]] += np.add.reduceat(z[passage[order]] * w[order][:, None], border, axis=0)
+    out[held[border]] += np.add.reduceat(z[passage[order]], border, axis=0)
 
 
 def latent_space(table: DataFrame, benchmark: list[Item], space: Space, weight: np.ndarray, passages: int) -> np.ndarray:
@@ -165,13 +166,14 @@ def latent_space(table: DataFrame, benchmark: list[Item], space: Space, weight:
     columns, block = RANK + EXTRA, 512
     test = np.random.default_rng(17).standard_normal((space.size, columns)).astype(np.float32)
     weight32 = weight.astype(np.float32)
+    weighted = test * weight32[:, None]
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         out = np.zeros((space.size, columns), np.float32)
         for _, values, borders in _batched(rows):
             starts = _starts(borders, PASSAGE)
             if len(starts):
-                _sketch(space.rows(values), starts, weight32, test, out)
+                _sketch(space.rows(values), starts, weight32, weighted, out)
         for key, at in enumerate(range(0, space.size, block)):
             yield key, out[at : at + block].tobytes()
 
@@ -182,8 +184,9 @@ def latent_space(table: DataFrame, benchmark: list[Item], space: Space, weight:
     own = np.zeros((space.size, columns), np.float32)
     values = np.concatenate([item.terms for item in benchmark])
     borders = np.r_[0, np.cumsum([len(item.terms) for item in benchmark])]
-    _sketch(space.rows(values), borders[:-1], weight32, test, own)
+    _sketch(space.rows(values), borders[:-1], weight32, weighted, own)
     sketch = (1 - BENCHMARK_ENERGY) * sketch / max(1, passages) + BENCHMARK_ENERGY * own / len(benchmark)
+    sketch *= weight[:, None]
     core = test.T @ sketch
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     kept = values > max(values.max(), 1e-30) * 1e-7
@@ -240,7 +243,9 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
         [project[space.rows(benchmark[i].terms[a : a + n])].sum(0) for i, p in asked for a, n in [benchmark[i].parts[p]]]
     )
     norms = np.linalg.norm(vectors, axis=1)
-    blocks = np.array([min(8, max(1, round(benchmark[i].parts[p][1] / BLOCK))) for i, p in asked])
+    # Windows of an even number of blocks; the shortest passages have one.
+    lengths = np.array([benchmark[i].parts[p][1] / BLOCK for i, p in asked])
+    blocks = np.where(lengths < 1.5, 1, np.clip(2 * np.round(lengths / 2), 2, 8)).astype(int)
     groups = []
     for size in np.unique(blocks):
         own = np.flatnonzero((blocks == size) & (norms > 1e-6))
@@ -262,8 +267,11 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
             step = 1 if size < 4 else 2
             here = np.flatnonzero(first | (at + size <= end) & ((end - at - size) % step == 0))
             z = (total[np.minimum(here + size, end[here])] - total[here]).astype(np.float32)
+            norm = np.sqrt(np.einsum("ij,ij->i", z, z)) + 1e-6
+            # No product exceeds the product of the norms.
+            able = norm >= COEFFICIENT * lengths.min()
+            here, z, norm = here[able], z[able], norm[able]
             dots = z @ queries
-            norm = np.sqrt((z * z).sum(1)) + 1e-6
             w, q = np.nonzero((dots >= COSINE * norm[:, None]) & (dots >= COEFFICIENT * lengths))
             yield from zip(own[q].tolist(), starts[here[w]].tolist(), owner[here[w]].tolist(), (dots[w, q] / norm[w]).tolist())
 

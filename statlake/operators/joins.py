@@ -1,8 +1,8 @@
 """Joins: enrichment, role-playing dimensions, conditional keys, ranges.
 
-No side is broadcast blindly. A side is hinted only when the optimizer's own estimate of it
-is below a limit; everything else is left to Catalyst and adaptive execution, which sees
-true sizes at run time and splits skewed partitions of a shuffled join.
+No side is hinted for broadcast: Catalyst and adaptive execution decide from sizes they know, and an
+estimate above a generator is not one of those. ``strategy`` names a Spark join hint (``merge``,
+``shuffle_hash``) where a caller knows better.
 """
 
 from __future__ import annotations
@@ -10,30 +10,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Estimated bytes up to which a dimension may be copied to every executor.
-BROADCAST_LIMIT = 64 * 1024 * 1024
 # Spread of rows whose join key is null, so that they do not all land in one task.
 NULL_KEY_BUCKETS = 256
+# Points of a range that share a join key.
+RANGE_BUCKET = 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where the session does not expose it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
-
-
-def hint_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    return F.broadcast(df) if is_small(df, limit) else df
+def hinted(df: DataFrame, strategy: str | None) -> DataFrame:
+    return df.hint(strategy) if strategy else df
 
 
 def left_enrich(
@@ -41,15 +28,15 @@ def left_enrich(
     dimension: DataFrame,
     keys: Mapping[str, str],
     take: Sequence[str] | Mapping[str, str],
-    limit: int = BROADCAST_LIMIT,
     spread: Sequence[str] = (),
+    strategy: str | None = None,
 ) -> DataFrame:
     """Left join on ``{fact column: dimension column}``, adding the ``take`` columns.
 
     Repeated dimension keys multiply fact rows as in any join. Null keys never match, so they
     are dropped from the dimension. In a shuffled join all fact rows with a null key would go
-    to one task; where many are expected, name a few well-spread columns in ``spread``: those
-    rows are then scattered by them over buckets that the dimension does not have. Hot keys
+    to one task; those rows are scattered over buckets that the dimension does not have, by the
+    columns of ``spread`` or else by a few columns that are no keys. Hot keys
     that do match are left to adaptive skew handling, which can split the fact side.
     """
     names = dict(take) if isinstance(take, Mapping) else {name: name for name in take}
@@ -60,15 +47,14 @@ def left_enrich(
     ).dropna(subset=list(key_columns))
     condition = [F.col(left) == F.col(alias) for alias, (left, _) in key_columns.items()]
     left = fact
-    if is_small(side, limit):
-        side = F.broadcast(side)
-    elif spread:
+    spread = spread or [f.name for f in fact.schema if f.name not in keys and "map<" not in f.dataType.simpleString()][:4]
+    if spread:
         has_null = reduce(Column.__or__, [F.col(name).isNull() for name in keys])
         bucket = F.pmod(F.xxhash64(*spread), F.lit(NULL_KEY_BUCKETS)).cast("int") + 1
         left = fact.withColumn("__bucket", F.when(has_null, bucket).otherwise(0))
         side = side.withColumn("__side_bucket", F.lit(0))
         condition.append(F.col("__bucket") == F.col("__side_bucket"))
-    joined = left.join(side, condition, "left")
+    joined = left.join(hinted(side, strategy), condition, "left")
     return joined.select(*fact.columns, *[F.col(f"__take_{a}").alias(a) for a in names.values()])
 
 
@@ -80,7 +66,7 @@ def inner_enrich(
         *[F.col(right).alias(f"__key_{i}") for i, right in enumerate(keys.values())], *take
     )
     condition = [F.col(left) == F.col(f"__key_{i}") for i, left in enumerate(keys)]
-    return fact.join(hint_if_small(side), condition, "inner").select(*fact.columns, *take)
+    return fact.join(side, condition, "inner").select(*fact.columns, *take)
 
 
 def resolve_roles(
@@ -89,37 +75,35 @@ def resolve_roles(
     roles: Mapping[str, str],
     dimension_key: str,
     value: str,
-    limit: int = BROADCAST_LIMIT,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Look the same dimension up for many id columns, ``{id column: output column}``.
 
-    A dimension below the limit is broadcast once and the one copy serves every role. Above
-    it, one shuffle of the wide fact per role would dominate. Then the distinct combinations
-    of ids are taken, unpivoted to narrow ``(combination, id)`` rows, looked up by one join,
-    folded back per combination, and the fact meets the result in a single join. The
-    dimension key must be unique.
+    The result is that of one left join per role: a repeated dimension key multiplies the fact's
+    rows, a null or unknown id gives null. One join per role would move the wide fact each time.
+    Instead the distinct combinations of ids are unpivoted to narrow ``(combination, id)`` rows,
+    looked up by one join and folded back per combination; the fact meets the result once.
     """
-    side = dimension.select(F.col(dimension_key).alias("__id"), F.col(value).alias("__value"))
-    side = side.dropna(subset=["__id"])
-    if is_small(side, limit):
-        shared = F.broadcast(side)
-        for id_column, output in roles.items():
-            one = shared.select(F.col("__id").alias(f"__{output}"), F.col("__value").alias(output))
-            fact = fact.join(one, F.col(id_column) == F.col(f"__{output}"), "left").drop(f"__{output}")
-        return fact
+    side = dimension.select(F.col(dimension_key).alias("__id"), F.struct(F.col(value).alias("value")).alias("__value"))
     keyed = fact.withColumn("__ids", F.struct(*roles))
     combinations = keyed.select("__ids").distinct()
     narrow = combinations.select(
         "__ids", F.explode(F.array_distinct(F.array(*[F.col(f"__ids.{c}") for c in roles]))).alias("id")
     ).dropna(subset=["id"])
-    found = narrow.join(side, F.col("id") == F.col("__id"), "inner")
+    found = narrow.join(hinted(side.dropna(subset=["__id"]), strategy), F.col("id") == F.col("__id"), "inner")
     folded = found.groupBy("__ids").agg(
         *[
-            F.max(F.when(F.col("id") == F.col(f"__ids.{column}"), F.col("__value"))).alias(output)
+            F.collect_list(F.when(F.col("id") == F.col(f"__ids.{column}"), F.col("__value"))).alias(output)
             for column, output in roles.items()
         ]
     )
-    return keyed.join(folded, "__ids", "left").drop("__ids")
+    # Every match of every role; almost always one.
+    for output in roles.values():
+        others = [F.col(c) for c in folded.columns if c != output]
+        folded = folded.select(*others, F.explode_outer(output).alias("__one")).select(
+            *others, F.col("__one.value").alias(output)
+        )
+    return keyed.join(hinted(folded, strategy), "__ids", "left").select(*fact.columns, *roles.values())
 
 
 def conditional_key_enrich(
@@ -129,8 +113,8 @@ def conditional_key_enrich(
     id_column: str,
     id_types: Mapping[str, str],
     take: Sequence[str],
-    limit: int = BROADCAST_LIMIT,
     spread: Sequence[str] = (),
+    strategy: str | None = None,
 ) -> DataFrame:
     """Left join whose dimension key depends on a type column, ``{type: dimension column}``.
 
@@ -154,7 +138,21 @@ def conditional_key_enrich(
         F.when(F.col(type_column).isin(*id_types), F.col(id_column).cast("string")),
     )
     typed = {type_column: "__kind", "__typed_id": "__id"}
-    return left_enrich(keyed, side, typed, take, limit, spread).drop("__typed_id")
+    return left_enrich(keyed, side, typed, take, spread, strategy).drop("__typed_id")
+
+
+def first_cover(ranges: DataFrame, on: Sequence[str], value: str) -> DataFrame:
+    """Disjoint ``(*on, low, high, value)``: each stretch with the value of its first range by ``position``.
+
+    Stretches end where some range of the same key starts or ends, so a stretch is never partly covered.
+    """
+    keys = list(on)
+    edges = ranges.select(*keys, F.explode(F.array(F.col("start").cast("bigint"), F.col("end").cast("bigint") + 1)).alias("low")).distinct()
+    following = Window.partitionBy(*keys).orderBy("low")
+    stretches = edges.withColumn("high", F.lead("low").over(following) - 1).dropna(subset=["high"])
+    held = ranges.select(*[F.col(k).alias(f"__{k}") for k in keys], "start", "end", "position", F.col(value).alias("__value"))
+    inside = [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col("start") <= F.col("low"), F.col("high") <= F.col("end")]
+    return stretches.join(held, inside).groupBy(*keys, "low", "high").agg(F.min_by("__value", "position").alias(value))
 
 
 def range_value(
@@ -165,18 +163,21 @@ def range_value(
     value: str,
     output: str,
     default: int = 0,
+    bucket: int = RANGE_BUCKET,
 ) -> DataFrame:
     """Value of the first range ``[start, end]`` (by ``position``) holding the point, else default.
 
-    ``ranges`` has columns ``*on, position, start, end, value``. Ranges over years or sizes are
-    short, so they are expanded to points and joined by equality.
+    ``ranges`` has columns ``*on, position, start, end, value``. They are made disjoint, so a point
+    has one match at most, and joined by their keys and a coarse bucket of the point. The join is
+    sorted, never broadcast: the optimizer cannot see how many buckets a range covers.
     """
-    points = (
-        ranges.withColumn("__point", F.explode(F.expr("sequence(`start`, `end`)")))
-        .groupBy(*on, "__point")
-        .agg(F.min_by(F.col(value), F.col("position")).alias(output))
-    )
-    keys = {**{name: name for name in on}, point: "__point"}
-    return left_enrich(fact, points, keys, [output]).withColumn(
-        output, F.coalesce(F.col(output), F.lit(default))
+    parts = first_cover(ranges, on, value)
+    covered = F.sequence(F.floor(F.col("low") / bucket), F.floor(F.col("high") / bucket))
+    side = parts.select(
+        *[F.col(name).alias(f"__{name}") for name in on], "low", "high", F.col(value).alias("__found"), F.explode(covered).alias("__covered")
     )
+    condition = [F.col(name) == F.col(f"__{name}") for name in on]
+    condition.append(F.floor(F.col(point).cast("bigint") / bucket) == F.col("__covered"))
+    condition.append(F.col(point).between(F.col("low"), F.col("high")))
+    joined = fact.join(side.hint("merge"), condition, "left")
+    return joined.select(*fact.columns, F.coalesce("__found", F.lit(default)).alias(output))

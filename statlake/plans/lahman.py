@@ -136,7 +136,7 @@ def awards(players: DataFrame, managers: DataFrame, lookup: DataFrame) -> DataFr
     award = ["year_id", "league_id", "name"]
     unknown = F.col("lahman_id").isNull()
     order = [unknown, *[F.col(c) for c in ("playerid", "type", "notes", "person_id", "is_tie")]]
-    slices = [unknown, F.substring("playerid", 1, 3)]
+    slices = [unknown, F.substring("playerid", 1, 5)]
     numbered = number_rows(rows, award, order, slices, "unique_id")
     keyed = _keyed(numbered, {"award_tie_id": (*award, "unique_id"), "award_id": award})
     return keyed.drop("unique_id", "lahman_id", "playerid")

@@ -16,7 +16,10 @@ from statlake.sources.sinks import VersionedTable, append_ledger, with_load_id
 
 @dataclass(frozen=True)
 class RawTable:
-    """A loaded table. Without a key a load replaces it, with one it merges."""
+    """A loaded table. Without a key a load replaces it, with one it merges.
+
+    ``partition_by`` is an expression over the key: a merge rewrites only the partitions it touches.
+    """
 
     loader: str
     name: str
@@ -58,6 +61,9 @@ _FIELDING_BOARDS = {
 }
 _RUNNING_BOARDS = {"sprint_speed": "player_id year", "running_splits": "player_id year split_type"}
 _LEADERBOARDS = dict.fromkeys(("batting", "pitching", "fielding"), "playerid season team leg")
+# Game numbers grow with time, so a batch of new games touches few of these.
+_GAME_RANGE = "cast(cast(game_pk as bigint) / 5000 as bigint)"
+_YEAR_OF_DATE = "substr(cast(`date` as string), 1, 4)"
 _EVENTS = dict.fromkeys(
     ("retrosheet_game_logs_full", "retrosheet_game_logs_box", "retrosheet_game_logs_deduced"),
     "GAME_ID EVENT_ID",
@@ -69,15 +75,15 @@ RAW_TABLES: list[RawTable] = [
     *_tables("baseball_reference_draft", {"draft_results": "Year draft_type Rnd RdPck"}, "year", "Year"),
     RawTable("chadwick_register", "people", ("key_uuid",), replaces=True),
     *_tables("fangraphs", _LEADERBOARDS, "season", "season"),
-    RawTable("mlb_statsapi_schedules", "schedules", ("game_pk",), "season"),
-    RawTable("mlb_statsapi_schedules", "schedules_linescore_innings", ("game_pk", "inning_num")),
-    RawTable("mlb_statsapi_schedules", "schedules_officials", ("game_pk", "official_type")),
-    *_tables("retrosheet_events", _EVENTS, "substr(game_id, 4, 4)"),
-    RawTable("retrosheet", "game_logs", ("home_team", "date", "game_num"), "date"),
+    RawTable("mlb_statsapi_schedules", "schedules", ("game_pk",), "season", partition_by=_GAME_RANGE),
+    RawTable("mlb_statsapi_schedules", "schedules_linescore_innings", ("game_pk", "inning_num"), partition_by=_GAME_RANGE),
+    RawTable("mlb_statsapi_schedules", "schedules_officials", ("game_pk", "official_type"), partition_by=_GAME_RANGE),
+    *_tables("retrosheet_events", _EVENTS, "substr(game_id, 4, 4)", "substr(GAME_ID, 4, 4)"),
+    RawTable("retrosheet", "game_logs", ("home_team", "date", "game_num"), "date", partition_by=_YEAR_OF_DATE),
     *_tables("retrosheet_rosters", {"rosters": "player_id team season"}, "season", "season"),
-    RawTable("retrosheet_schedules", "schedules", ("date", "game_num", "home_team"), "date"),
+    RawTable("retrosheet_schedules", "schedules", ("date", "game_num", "home_team"), "date", partition_by=_YEAR_OF_DATE),
     *_tables("retrosheet_umpires", {"umpires": "umpire_id season"}, "season", "season"),
-    RawTable("statcast_pitches", "pitches", ("game_pk", "at_bat_number", "pitch_number"), "game_date"),
+    RawTable("statcast_pitches", "pitches", ("game_pk", "at_bat_number", "pitch_number"), "game_date", partition_by=_GAME_RANGE),
     *_tables("statcast_batting_leaderboards", _BATTING_BOARDS, "year", "year"),
     *_tables("statcast_pitching_leaderboards", _PITCHING_BOARDS, "year", "year"),
     *_tables("statcast_fielding_leaderboards", _FIELDING_BOARDS, "year", "year"),
@@ -119,7 +125,7 @@ def loader_registry(spark: SparkSession) -> DataFrame:
 
 
 def open_table(spark: SparkSession, root: str, table: RawTable) -> VersionedTable:
-    return VersionedTable(spark, f"{root}/{table.loader}/{table.name}", table.key, table.partition_by)
+    return VersionedTable(spark, f"{root}/{table.loader}/{table.name}", table.key, F.expr(table.partition_by) if table.partition_by else None)
 
 
 def load_table_batch(
@@ -142,10 +148,12 @@ def load_table_batch(
     append_ledger(spark, f"{root}/{table.loader}/_loads", load_id, 0, loaded_at)
 
 
-def full_refresh(spark: SparkSession, root: str, loader: str) -> None:
-    """Drop all tables of a loader; its cursors are reset by the caller with ``without_cursors``."""
+def full_refresh(spark: SparkSession, root: str, loader: str, cursors: DataFrame | None = None) -> DataFrame | None:
+    """Drop all tables of a loader and its ledger; returns ``cursors`` without those of the loader."""
     for table in loader_tables(loader).values():
         open_table(spark, root, table).drop()
+    VersionedTable(spark, f"{root}/{loader}/_loads").drop()
+    return None if cursors is None else without_cursors(cursors, loader)
 
 
 def without_cursors(cursors: DataFrame, loader: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions import parse_long, surrogate_key
-from statlake.operators.joins import BROADCAST_LIMIT, resolve_roles
+from statlake.operators.joins import resolve_roles
 from statlake.plans.columns import output_names, select_list
 
 # Raw column, type, model column, before the person columns.
@@ -99,7 +99,7 @@ delta_run_exp numeric run_expectancy_delta
 """
 
 
-def pitches(raw: DataFrame, crosswalk: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def pitches(raw: DataFrame, crosswalk: DataFrame, strategy: str | None = None) -> DataFrame:
     """Typed pitches with the person ids of everyone on the field."""
     typed = raw.select(
         *select_list(_SITUATION),
@@ -108,7 +108,7 @@ def pitches(raw: DataFrame, crosswalk: DataFrame, limit: int = BROADCAST_LIMIT)
     )
     people = crosswalk.select(parse_long(F.col("mlbam_id")).alias("mlbam_id"), "person_id")
     roles = {f"{role}_mlbam_id": f"{role}_person_id" for role in _ROLES.values()}
-    found = resolve_roles(typed, people, roles, "mlbam_id", "person_id", limit)
+    found = resolve_roles(typed, people, roles, "mlbam_id", "person_id", strategy)
     return found.select(
         surrogate_key("game_id", "game_plate_appearance", "pitch_number").alias("pitch_id"),
         *output_names(_SITUATION),

@@ -39,29 +39,21 @@ class Tables:
         self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        from statlake.registered.inputs import DERIVED, WIDE
+        from statlake.registered.inputs import DERIVED
 
         if name in TABLES:
             df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         elif name in DERIVED:
-            df = self.sql(DERIVED[name], wide=name in WIDE)
+            df = self.sql(DERIVED[name])
         else:
             raise AttributeError(name)
         # Kept for the query, which may name a table many times.
         self.__dict__[name] = df
         return df
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """A table in fewer files than cores is dealt out to the cores before dozens of columns
-        are computed per row. A large table has more files and is left as it is."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-    def sql(self, text: str, wide: bool = False) -> DataFrame:
+    def sql(self, text: str) -> DataFrame:
         """Spark SQL over driver and derived tables named in the text."""
         frames = {name: getattr(self, name) for name in names_in(text)}
-        if wide:
-            frames = {name: self._spread(df) for name, df in frames.items()}
         marked = text.replace("{", "{{").replace("}", "}}")
         for name in frames:
             marked = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", marked)

@@ -335,6 +335,3 @@ SELECT DISTINCT CAST(year(o_orderdate) AS STRING) AS "yearID", 'AL' AS "lgID",
   'R' || CAST(o_custkey % 30 AS STRING) AS "teamIDretro"
 FROM orders
 """.replace('"', "")
-
-# Tables that compute dozens of columns per row.
-WIDE = {name for name, sql in DERIVED.items() if sql.count(" AS ") > 20 and "FROM customer" not in sql}

@@ -694,6 +694,12 @@ def _log_sources() -> dict[str, str]:
     return {kind: f"SELECT {_LOG_ITEMS} FROM orders WHERE o_orderkey % 6 = {i}" for i, kind in enumerate(kinds)}
 
 
+def _log_scan() -> str:
+    """All six types in one scan, as the files' reader gives them."""
+    whens = " ".join(f"WHEN {i} THEN '{kind}'" for i, kind in enumerate(_log_sources()))
+    return f"SELECT {_LOG_ITEMS}, CASE o_orderkey % 6 {whens} END AS game_type FROM orders"
+
+
 def _game_log_sql() -> str:
     unioned = " UNION ALL ".join(f"SELECT *, '{kind}' AS game_type FROM ({sql})" for kind, sql in _log_sources().items())
     stats = ", ".join(
@@ -721,8 +727,7 @@ def _game_log_sql() -> str:
 
 @REGISTRY.add("model_game_logs", _game_log_sql())
 def _(t: Tables):
-    logs = {kind: t.sql(sql, wide=True) for kind, sql in _log_sources().items()}
-    return game_logs.game_logs(game_logs.union_game_types(logs))
+    return game_logs.game_logs(t.sql(_log_scan()))
 
 
 _PITCH_FIXED = {
@@ -767,10 +772,10 @@ def _pitch_sql() -> str:
 
 @REGISTRY.add("model_pitches", _pitch_sql())
 def _(t: Tables):
-    return pitches.pitches(t.sql(f"SELECT {_PITCH_ITEMS} FROM lineitem", wide=True), t.crosswalk)
+    return pitches.pitches(t.sql(f"SELECT {_PITCH_ITEMS} FROM lineitem"), t.crosswalk)
 
 
-# The same model by the plan for a register too large to broadcast.
+# The same model with every lookup sorted, as for a register too large to broadcast.
 @REGISTRY.add("model_pitches_large_register", _pitch_sql())
 def _(t: Tables):
-    return pitches.pitches(t.sql(f"SELECT {_PITCH_ITEMS} FROM lineitem", wide=True), t.crosswalk, limit=-1)
+    return pitches.pitches(t.sql(f"SELECT {_PITCH_ITEMS} FROM lineitem"), t.crosswalk, strategy="merge")

@@ -167,7 +167,7 @@ def _(t: Tables):
     with_inputs("SELECT o_orderkey, o_custkey, person_id FROM orders LEFT JOIN crosswalk ON o_custkey = fangraphs_id"),
 )
 def _(t: Tables):
-    found = joins.left_enrich(t.orders, t.crosswalk, {"o_custkey": "fangraphs_id"}, ["person_id"], limit=-1)
+    found = joins.left_enrich(t.orders, t.crosswalk, {"o_custkey": "fangraphs_id"}, ["person_id"], strategy="merge")
     return found.select("o_orderkey", "o_custkey", "person_id")
 
 
@@ -189,17 +189,29 @@ _ROLES_SQL = """
 """
 
 
-def _roles(t: Tables, limit: int):
+def _roles(t: Tables, strategy: str | None = None, dimension=None):
     fact = t.lineitem.selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "cast(l_suppkey % 25 as int) AS batter", "cast(l_partkey % 31 as int) AS pitcher",
     )
     roles = {"batter": "batter_nation", "pitcher": "pitcher_nation"}
-    return joins.resolve_roles(fact, t.nation, roles, "n_nationkey", "n_name", limit).drop("batter", "pitcher")
+    names = t.nation if dimension is None else dimension
+    return joins.resolve_roles(fact, names, roles, "n_nationkey", "n_name", strategy).drop("batter", "pitcher")
 
 
-REGISTRY.add("role_playing_joins", _ROLES_SQL)(lambda t: _roles(t, joins.BROADCAST_LIMIT))
-REGISTRY.add("role_playing_joins_shuffled", _ROLES_SQL)(lambda t: _roles(t, -1))
+REGISTRY.add("role_playing_joins", _ROLES_SQL)(_roles)
+REGISTRY.add("role_playing_joins_shuffled", _ROLES_SQL)(lambda t: _roles(t, "merge"))
+
+# A dimension whose keys repeat, some of them with a null value.
+_REPEATED = """
+    SELECT n_nationkey, n_name FROM nation
+    UNION ALL SELECT s_nationkey, CASE WHEN s_suppkey % 4 > 0 THEN s_name END FROM supplier WHERE s_suppkey <= 12
+"""
+_REPEATED_SQL = f"""
+    WITH people AS ({_REPEATED}) {_ROLES_SQL.replace('JOIN nation', 'JOIN people')}
+"""
+REGISTRY.add("role_playing_repeated_ids", _REPEATED_SQL)(lambda t: _roles(t, None, t.sql(_REPEATED)))
+REGISTRY.add("role_playing_repeated_ids_shuffled", _REPEATED_SQL)(lambda t: _roles(t, "merge", t.sql(_REPEATED)))
 
 
 @REGISTRY.add(
@@ -263,7 +275,15 @@ def _(t: Tables):
     return found.select("p_partkey", "p_type", "p_size", "rounds")
 
 
-@REGISTRY.add("best_match")
+# No other name shares more letters with a name and a digit than the name itself.
+@REGISTRY.add(
+    "best_match",
+    """
+    SELECT p_partkey, p_type AS season, p_name || CAST(p_partkey % 10 AS VARCHAR) AS team,
+      max(p_partkey) OVER (PARTITION BY p_type, p_name) AS best_part, TRUE AS is_matched
+    FROM part
+    """,
+)
 def _(t: Tables):
     digit = (F.col("p_partkey") % 10).cast("string")
     wanted = t.part.select("p_partkey", F.col("p_type").alias("season"), F.concat("p_name", digit).alias("team"))
@@ -467,10 +487,10 @@ def _(t: Tables):
 
 @REGISTRY.add(
     "set_difference",
-    "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey * 2 FROM orders)",
 )
 def _(t: Tables):
-    return unions.names_missing(t.customer, t.orders.selectExpr("o_custkey AS c_custkey"), "c_custkey")
+    return unions.names_missing(t.customer, t.orders.selectExpr("o_custkey * 2 AS c_custkey"), "c_custkey")
 
 
 @REGISTRY.add(
@@ -494,20 +514,21 @@ def _(t: Tables):
     "merge_upsert",
     """
     WITH fresh AS (
-      SELECT l_orderkey AS o_orderkey, l_returnflag AS o_orderstatus, CAST(l_quantity AS BIGINT) AS quantity
-      FROM lineitem WHERE l_linenumber <= 3
-      QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey, l_suppkey) = 1)
+      SELECT l_orderkey * 2 AS o_orderkey, l_returnflag AS o_orderstatus, CAST(l_quantity AS BIGINT) AS quantity
+      FROM lineitem
+      QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey, l_suppkey, l_quantity) = 1)
     SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS BIGINT) AS quantity FROM orders
     WHERE o_orderkey NOT IN (SELECT o_orderkey FROM fresh)
     UNION ALL SELECT o_orderkey, NULL, o_orderstatus, quantity FROM fresh
     """,
 )
 def _(t: Tables):
-    batch = t.lineitem.where(F.col("l_linenumber") <= 3).selectExpr(
-        "l_orderkey AS o_orderkey", "l_returnflag AS o_orderstatus", "cast(l_quantity as bigint) AS quantity",
+    # Doubled keys: some orders are replaced, some stay, some keys are new.
+    batch = t.lineitem.selectExpr(
+        "l_orderkey * 2 AS o_orderkey", "l_returnflag AS o_orderstatus", "cast(l_quantity as bigint) AS quantity",
         "l_linenumber", "l_partkey", "l_suppkey",
     )
-    newest = [F.col("l_linenumber").desc(), F.col("l_partkey"), F.col("l_suppkey")]
+    newest = [F.col("l_linenumber").desc(), F.col("l_partkey"), F.col("l_suppkey"), F.col("quantity")]
     stored = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
     merged = merge.merge_by_key(stored, batch, ["o_orderkey"], newest)
     return merged.select("o_orderkey", "o_custkey", "o_orderstatus", "quantity")
@@ -547,6 +568,24 @@ def _(t: Tables):
     return status.table_status(_orders_with_loads(t), _ledger(t))
 
 
+@REGISTRY.add(
+    "table_status_of_all",
+    f"""
+    WITH {_LEDGER_SQL},
+    t AS (
+      SELECT 'orders' AS table_name, 'load' || (o_orderkey % 40) AS load_id, strftime(o_orderdate, '%Y-%m-%d') AS mark FROM orders
+      UNION ALL SELECT 'lineitem', 'load' || (l_orderkey % 7), strftime(l_shipdate, '%Y-%m-%d') FROM lineitem)
+    SELECT table_name, max(mark) AS watermark, CAST(count(*) AS BIGINT) AS rows,
+      strftime(max(inserted_at), '%Y-%m-%d %H:%M:%S') AS last_load, CAST(count(DISTINCT l.load_id) AS BIGINT) AS load_count
+    FROM t LEFT JOIN (SELECT * FROM ledger WHERE status = 0) l ON l.load_id = t.load_id GROUP BY table_name
+    """,
+)
+def _(t: Tables):
+    lines = t.lineitem.withColumn("_load_id", F.concat(F.lit("load"), (F.col("l_orderkey") % 7).cast("string")))
+    tables = {"orders": _orders_with_loads(t), "lineitem": lines}
+    return status.tables_status(tables, {name: _WATERMARKS[name] for name in tables}, _ledger(t))
+
+
 @REGISTRY.add(
     "load_ledger_join",
     f"""
@@ -564,12 +603,12 @@ def _(t: Tables):
 _WATERMARKS = {
     "orders": "date_format(o_orderdate, 'yyyy-MM-dd')",
     "lineitem": "date_format(l_shipdate, 'yyyy-MM-dd')",
-    "customer": "substr(c_name, 1, 8)",
+    "customer": "substr(c_name, 10)",
 }
 _WATERMARK_SQL = """
     SELECT 'orders' AS table_name, max(strftime(o_orderdate, '%Y-%m-%d')) AS watermark FROM orders
     UNION ALL SELECT 'lineitem', max(strftime(l_shipdate, '%Y-%m-%d')) FROM lineitem
-    UNION ALL SELECT 'customer', max(substr(c_name, 1, 8)) FROM customer
+    UNION ALL SELECT 'customer', max(substr(c_name, 10)) FROM customer
     UNION ALL SELECT 'absent', NULL
 """
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,12 +43,15 @@ def load_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting (tests on one machine) a temporary folder is used and set.
+    A session on one machine may leave the setting out and gets a temporary folder; on a cluster,
+    whose machines do not share such a folder, that is an error.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="statlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")

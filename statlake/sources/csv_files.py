@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statlake.operators.joins import hint_if_small
 from statlake.operators.unions import label_if_absent, long_labels, names_missing
 from statlake.sources import layouts
 
@@ -99,8 +98,22 @@ def _season_from_path(pattern: str):
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 
+def _without_files(spark: SparkSession, folder: str, pattern: str, columns: Sequence[str]) -> DataFrame | None:
+    """An empty text table and a warning if no season has a file, else None."""
+    if not list_files(spark, folder, pattern, recursive=True).isEmpty():
+        return None
+    warnings.warn(f"no season below {folder} has a file {pattern}", stacklevel=3)
+    return spark.createDataFrame([], text_schema([*columns, "season"]))
+
+
 def read_rosters(spark: SparkSession, root: str) -> DataFrame:
-    """``seasons/<season>/<TEAM><season>.ROS``; the season label comes from the folder."""
+    """``seasons/<season>/<TEAM><season>.ROS``; the season label comes from the folder.
+
+    Seasons without files have no rows; without any there is a warning and an empty table.
+    """
+    absent = _without_files(spark, f"{root}/seasons", "*.ROS", layouts.ROSTER_COLUMNS)
+    if absent is not None:
+        return absent
     df = (
         spark.read.schema(text_schema(layouts.ROSTER_COLUMNS))
         .option("pathGlobFilter", "*.ROS")
@@ -110,7 +123,10 @@ def read_rosters(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_umpires(spark: SparkSession, root: str) -> DataFrame:
-    """``seasons/<season>/UMPIRES<season>.txt`` with a header."""
+    """``seasons/<season>/UMPIRES<season>.txt`` with a header; absent files as for rosters."""
+    absent = _without_files(spark, f"{root}/seasons", "UMPIRES*.txt", list(layouts.UMPIRE_RENAMES.values()))
+    if absent is not None:
+        return absent
     df = spark.read.option("header", True).csv(f"{root}/seasons/*/UMPIRES*.txt")
     return df.withColumn("season", _season_from_path(r"/seasons/([^/]+)/")).withColumnsRenamed(
         layouts.UMPIRE_RENAMES
@@ -158,7 +174,7 @@ def read_season_schedules(spark: SparkSession, root: str) -> DataFrame:
     # Spark does not answer from the complaint column alone; a row that counts has a date.
     full = F.col("__short_row").isNull() & F.col(columns[0]).isNotNull()
     widths = raw.groupBy("__file").agg(F.max(full).alias("__full"))
-    rows = raw.where(F.col(columns[0]) != "Date").join(hint_if_small(widths), "__file")
+    rows = raw.where(F.col(columns[0]) != "Date").join(widths, "__file")
     at = columns.index("location")
     shifted = [
         F.when(F.col("__full"), F.col(name)).otherwise(

@@ -25,47 +25,60 @@ _CHUNK = 5_000
 
 
 class _TableRows(HTMLParser):
-    """Body rows of every table, keyed by the header texts of that table."""
+    """Body rows of every table, keyed by the header texts of that table.
+
+    End tags may be left out: a new cell ends the cell before it, a new row or section the row, and
+    the table's end (or the page's) everything open. Cells beyond the headers are named by their
+    place (``column_3``), and so are all cells of a table without header cells.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.rows: list[list[dict]] = []
         self._names: list[str] = []
-        self._cells: list[dict] | None = None
-        self._heads: list[str] | None = None
-        self._open: dict | None = None
+        self._row: list[tuple[bool, dict]] | None = None
+        self._cell: dict | None = None
 
     def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            self._names = []
-        elif tag == "tr":
-            self._cells, self._heads = [], []
-        elif tag in ("td", "th") and self._cells is not None:
-            self._open = {"text": "", "link": None}
-            self._cells.append(self._open)
-            if tag == "th":
-                self._heads.append(self._open)
-        elif tag == "a" and self._open is not None and self._open["link"] is None:
-            self._open["link"] = dict(attrs).get("href")
+        if tag in ("table", "tr", "thead", "tbody", "tfoot"):
+            self._end_row()
+            if tag == "table":
+                self._names = []
+            elif tag == "tr":
+                self._row = []
+        elif tag in ("td", "th"):
+            if self._row is None:
+                self._row = []
+            self._cell = {"text": "", "link": None}
+            self._row.append((tag == "th", self._cell))
+        elif tag == "a" and self._cell is not None and self._cell["link"] is None:
+            self._cell["link"] = dict(attrs).get("href")
 
     def handle_data(self, data):
-        if self._open is not None:
-            self._open["text"] += data
+        if self._cell is not None:
+            self._cell["text"] += data
 
     def handle_endtag(self, tag):
         if tag in ("td", "th"):
-            self._open = None
-        elif tag == "tr" and self._cells is not None:
-            if self._cells and not self._names and len(self._heads) == len(self._cells):
-                self._names = _distinct_names([_tidy(cell["text"]) or "" for cell in self._cells])
-            elif self._cells:
-                self.rows.append(
-                    [
-                        {"name": name, "text": _tidy(cell["text"]), "link": cell["link"]}
-                        for name, cell in zip(self._names, self._cells)
-                    ]
-                )
-            self._cells = None
+            self._cell = None
+        elif tag in ("tr", "thead", "tbody", "tfoot", "table"):
+            self._end_row()
+
+    def close(self):
+        super().close()
+        self._end_row()
+
+    def _end_row(self) -> None:
+        row, self._row, self._cell = self._row, None, None
+        if not row:
+            return
+        if not self._names and all(is_head for is_head, _ in row):
+            self._names = _distinct_names([_tidy(cell["text"]) or "" for _, cell in row])
+            return
+        names = self._names + [f"column_{i}" for i in range(len(self._names), len(row))]
+        self.rows.append(
+            [{"name": name, "text": _tidy(cell["text"]), "link": cell["link"]} for name, (_, cell) in zip(names, row)]
+        )
 
 
 def _tidy(text: str) -> str | None:
@@ -96,6 +109,7 @@ class _Links(HTMLParser):
 def _page_rows(html: str) -> list[dict]:
     parser = _TableRows()
     parser.feed(html)
+    parser.close()
     return [{"row_index": i, "cells": row} for i, row in enumerate(parser.rows)]
 
 
@@ -115,9 +129,9 @@ def _per_page(
     def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows: list[dict] = []
-            for record in batch.to_dict("records"):
-                page = {name: record[name] for name in keep}
-                rows.extend({**page, **row} for row in parse(record[html] or ""))
+            for text, *kept_values in zip(batch[html], *(batch[name] for name in keep)):
+                page = dict(zip(keep, kept_values))
+                rows.extend({**page, **row} for row in parse(text or ""))
                 if len(rows) >= _CHUNK:
                     yield pd.DataFrame(rows, columns=columns)
                     rows = []

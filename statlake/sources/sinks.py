@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from statlake.operators.merge import merge_by_key, require_key
 
-# A partitioned merge lists the partitions it touches on the driver (seasons, months).
-MAX_TOUCHED_PARTITIONS = 10_000
 _FOLDER = "__partition"
+_SCHEMA = "_schema.json"
 
 
 class VersionedTable:
@@ -22,16 +23,18 @@ class VersionedTable:
     repeated write changes nothing for readers. A ``full`` version is the whole table. With
     ``partition_by`` a merge writes a ``part`` version that holds only the partitions of the
     batch, and each partition is read from the newest version that has it: the cost of a
-    merge follows the batch, not the table.
+    merge follows the batch, not the table. ``partition_by`` names a key column or is an
+    expression over key columns only, such as the year of a key date; the driver keeps one
+    name for each partition. Versions add up until ``compact`` and ``vacuum`` are called.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: Sequence[str] = (), partition_by: str | None = None):
-        if partition_by and key and partition_by not in key:
+    def __init__(self, spark: SparkSession, root: str, key: Sequence[str] = (), partition_by: str | Column | None = None):
+        if isinstance(partition_by, str) and key and partition_by not in key:
             raise ValueError("the partition column must be part of the key")
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = list(key)
-        self.partition_by = partition_by
+        self.partition_by = F.col(partition_by) if isinstance(partition_by, str) else partition_by
 
     def _folder(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -43,18 +46,21 @@ class VersionedTable:
             return []
         return [status.getPath().getName() for status in fs.listStatus(folder)]
 
-    def _started(self) -> list[tuple[int, str]]:
+    def _versions(self) -> list[tuple[int, str]]:
+        """(number, kind) of all versions begun, oldest first."""
         names = [name[2:].split("-") for name in self._children(self.root) if name.startswith("v=")]
         return sorted((int(number), kind) for number, kind in names)
 
     def _live(self) -> list[str]:
         """Folders of the newest complete full version and the complete parts after it."""
         live: list[str] = []
-        for number, kind in self._started():
+        for number, kind in reversed(self._versions()):
             folder = f"{self.root}/v={number}-{kind}"
             if "_SUCCESS" in self._children(folder):
-                live = [folder] if kind == "full" else [*live, folder]
-        return live
+                live.append(folder)
+                if kind == "full":
+                    break
+        return live[::-1]
 
     def _partition_paths(self) -> dict[str, str]:
         paths: dict[str, str] = {}
@@ -64,40 +70,87 @@ class VersionedTable:
                     paths[unquote(name.split("=", 1)[1])] = f"{folder}/{name}"
         return paths
 
+    def _schema(self) -> StructType | None:
+        """The table's schema, kept beside its newest version."""
+        for folder in reversed(self._live()):
+            if _SCHEMA in self._children(folder):
+                fs, path = self._folder(f"{folder}/{_SCHEMA}")
+                stream = fs.open(path)
+                text = bytes(stream.readAllBytes()).decode()
+                stream.close()
+                return StructType.fromJson(json.loads(text))
+        return None
+
     def read(self, partitions: Sequence[str] | None = None) -> DataFrame | None:
         """The current table, or None before the first write."""
-        if self.partition_by:
+        if self.partition_by is not None:
             paths = self._partition_paths()
             chosen = [path for value, path in sorted(paths.items()) if partitions is None or value in partitions]
         else:
             chosen = self._live()
-        # The partition value is also stored as a column, so its type survives the folder name.
-        return self.spark.read.option("mergeSchema", "true").parquet(*chosen) if chosen else None
+        if not chosen:
+            return None
+        schema = self._schema()
+        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
+        return reader.parquet(*chosen)
 
     def replace(self, df: DataFrame) -> None:
         """The table becomes ``df``."""
         self._write(require_key(df, self.key), "full")
 
+    def _claim(self, kind: str) -> str:
+        """The folder of a new version; a number that another writer took is not used again."""
+        number = max((number for number, _ in self._versions()), default=0)
+        claimed = False
+        while not claimed:
+            number += 1
+            fs, claim = self._folder(f"{self.root}/claim={number}")
+            claimed = fs.createNewFile(claim)
+        return f"{self.root}/v={number}-{kind}"
+
     def _write(self, df: DataFrame, kind: str) -> None:
-        number = max((number for number, _ in self._started()), default=0) + 1
-        target = f"{self.root}/v={number}-{kind}"
-        if self.partition_by:
-            keyed = df.withColumn(_FOLDER, F.col(self.partition_by).cast("string"))
+        known = self._schema()
+        schema = df.schema
+        if known and kind == "part":
+            schema = StructType([*known.fields, *[f for f in df.schema if f.name not in known.names]])
+        target = self._claim(kind)
+        if self.partition_by is not None:
+            # Rebalanced by partition: few files each, and a large partition is split over tasks.
+            keyed = df.withColumn(_FOLDER, self.partition_by.cast("string")).hint("rebalance", _FOLDER)
             keyed.write.partitionBy(_FOLDER).parquet(target)
         else:
             df.write.parquet(target)
+        fs, path = self._folder(f"{target}/{_SCHEMA}")
+        stream = fs.create(path, True)
+        stream.write(bytearray(schema.json().encode()))
+        stream.close()
 
     def merge(self, batch: DataFrame, newest_first: Sequence[Column] | None = None) -> None:
         """Upsert by key. Repeating a batch leaves the table as it is."""
-        if not self.partition_by:
+        if self.partition_by is None:
             self._write(merge_by_key(self.read(), batch, self.key, newest_first), "full")
             return
-        values = batch.select(F.col(self.partition_by).cast("string").alias("value")).distinct()
-        touched = [row["value"] for row in values.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-        if len(touched) > MAX_TOUCHED_PARTITIONS:
-            raise ValueError("batch touches too many partitions; choose a coarser partition column")
+        # One name for each partition of the batch, as the folders of the table have.
+        touched = {row["value"] for row in batch.select(self.partition_by.cast("string").alias("value")).distinct().collect()}
         self._write(merge_by_key(self.read(touched), batch, self.key, newest_first), "part")
 
+    def compact(self) -> None:
+        """The table as one full version."""
+        current = self.read()
+        if current is not None:
+            self._write(current, "full")
+
+    def vacuum(self) -> None:
+        """Delete the versions before the newest full one. No reader may still use them."""
+        live = self._live()
+        if not live:
+            return
+        first = int(live[0].rpartition("/v=")[2].split("-")[0])
+        for number, kind in self._versions():
+            if number < first:
+                fs, folder = self._folder(f"{self.root}/v={number}-{kind}")
+                fs.delete(folder, True)
+
     def drop(self) -> None:
         """Remove the table with all versions."""
         fs, folder = self._folder(self.root)

@@ -45,27 +45,44 @@ def successful(ledger: DataFrame) -> DataFrame:
 
 def last_loads(ledger: DataFrame, by: str = "loader") -> DataFrame:
     """Last load time and number of successful loads."""
-    return successful(ledger).groupBy(by).agg(
+    good = successful(ledger)
+    if "load_id" in ledger.columns:  # a load that was repeated counts once
+        good = good.groupBy(by, "load_id").agg(F.max("inserted_at").alias("inserted_at"))
+    return good.groupBy(by).agg(
         F.max("inserted_at").alias("last_load"), F.count(F.lit(1)).alias("load_count")
     )
 
 
-def table_status(df: DataFrame, ledger: DataFrame, load_id: str = "_load_id") -> DataFrame:
+def tables_status(tables: Mapping[str, DataFrame], expressions: Mapping[str, str], ledger: DataFrame) -> DataFrame:
+    """``table_name, watermark, rows, last_load, load_count`` for every table of a loader."""
+    rows = [
+        table_status(df, ledger, watermark=expressions.get(name)).select(F.lit(name).alias("table_name"), "watermark", "rows", "last_load", "load_count")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def table_status(df: DataFrame, ledger: DataFrame, load_id: str = "_load_id", watermark: str | None = None) -> DataFrame:
     """One row: rows of the table, last load time, number of distinct successful loads.
 
+    With ``watermark``, an expression over the table, its largest value too, as text.
+
     Rows are first counted per load id; the ledger then meets one row per load instead of
     the table.
     """
-    per_load = df.groupBy(load_id).agg(F.count(F.lit(1)).alias("rows"))
+    mark = F.max(F.expr(watermark)).cast("string") if watermark else F.max(F.lit(None).cast("string"))
+    per_load = df.groupBy(load_id).agg(F.count(F.lit(1)).alias("rows"), mark.alias("mark"))
     good = successful(ledger).select(F.col("load_id").alias("__load"), "inserted_at")
     joined = per_load.join(good, F.col(load_id) == F.col("__load"), "left")
     # A ledger that names a load twice must not count its rows twice.
-    once = joined.groupBy(load_id, "rows", "__load").agg(F.max("inserted_at").alias("inserted_at"))
-    return once.agg(
+    once = joined.groupBy(load_id, "rows", "mark", "__load").agg(F.max("inserted_at").alias("inserted_at"))
+    found = once.agg(
+        F.max("mark").alias("watermark"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.max("inserted_at").alias("last_load"),
         F.count("__load").alias("load_count"),
     )
+    return found if watermark else found.drop("watermark")
 
 
 def loader_status(registry: DataFrame, tables: DataFrame, ledger: DataFrame, watermarks: DataFrame) -> DataFrame:

@@ -12,12 +12,14 @@ TODAY = dt.date(2024, 6, 1)
 
 # ---- joins -----------------------------------------------------------------------------
 
-@pytest.mark.parametrize("limit, spread", [(joins.BROADCAST_LIMIT, ()), (-1, ()), (-1, ("n",))])
-def test_left_enrich_keeps_null_keys_and_repeats(spark, rows, limit, spread):
+@pytest.mark.parametrize("strategy, spread", [(None, ()), ("merge", ()), ("merge", ("n",))])
+def test_left_enrich_keeps_null_keys_and_repeats(spark, rows, strategy, spread):
     fact = spark.createDataFrame([("a", 1), (None, 2), ("z", 3), (None, 4)], "k string, n int")
     side = spark.createDataFrame([("a", "p1"), ("a", "p2"), (None, "p3")], "id string, person string")
-    got = rows(joins.left_enrich(fact, side, {"k": "id"}, ["person"], limit, spread))
-    assert got == sorted([("a", 1, "p1"), ("a", 1, "p2"), (None, 2, None), ("z", 3, None), (None, 4, None)], key=str)
+    found = joins.left_enrich(fact, side, {"k": "id"}, ["person"], spread, strategy)
+    assert rows(found) == sorted([("a", 1, "p1"), ("a", 1, "p2"), (None, 2, None), ("z", 3, None), (None, 4, None)], key=str)
+    if strategy:
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_conditional_key_has_no_nested_loop(spark, rows):
@@ -30,48 +32,54 @@ def test_conditional_key_has_no_nested_loop(spark, rows):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_LIMIT, -1])
-def test_roles_by_both_plans(spark, rows, limit):
-    fact = spark.createDataFrame([(1, 10, 20), (2, 10, 10), (3, None, 30), (4, None, None)], "n int, a int, b int")
-    people = spark.createDataFrame([(10, "ten"), (20, "twenty"), (None, "none")], "id int, name string")
-    df = joins.resolve_roles(fact, people, {"a": "a_name", "b": "b_name"}, "id", "name", limit)
-    assert rows(df.select("n", "a_name", "b_name")) == [
-        (1, "ten", "twenty"), (2, "ten", "ten"), (3, None, None), (4, None, None)]
-
-
-def test_roles_share_one_broadcast(spark):
-    fact = spark.range(10).selectExpr("id AS a", "id + 1 AS b", "id + 2 AS c")
-    people = spark.range(5).selectExpr("id", "cast(id AS string) AS name")
-    df = joins.resolve_roles(fact, people, {"a": "an", "b": "bn", "c": "cn"}, "id", "name")
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") >= 3 and "ReusedExchange" in plan
-
-
-@pytest.mark.parametrize(
-    "year, rounds", [(1999, 0), (2000, 30), (2001, 30), (2002, 30), (2003, 40), (2004, 0), (2005, 50), (2010, 50), (2011, 0)])
-def test_draft_rounds(spark, year, rounds):
-    ranges = spark.createDataFrame(
-        [("j", 1, 2000, 2002, 30), ("j", 2, 2003, 2003, 40), ("j", 3, 2005, 2010, 50)],
-        "type string, position int, start int, end int, rounds int")
-    years = spark.createDataFrame([("j", year)], "type string, year int")
-    assert joins.range_value(years, ranges, ["type"], "year", "rounds", "rounds").first().rounds == rounds
+@pytest.mark.parametrize("strategy", [None, "merge"])
+def test_roles_equal_one_left_join_each(spark, rows, tmp_path, strategy):
+    """A dimension with repeated ids, null ids and null values, read from files so that its size is known."""
+    fact = spark.createDataFrame([(1, 10, 20), (2, 10, 10), (3, None, 30), (4, None, None), (5, 40, 20)], "n int, a int, b int")
+    people = [(10, "ten"), (20, "twenty"), (20, "score"), (None, "none"), (40, None), (40, "forty")]
+    spark.createDataFrame(people, "id int, name string").write.parquet(str(tmp_path / "people"))
+    side = spark.read.parquet(str(tmp_path / "people"))
+    got = joins.resolve_roles(fact, side, {"a": "a_name", "b": "b_name"}, "id", "name", strategy)
+    expected = []
+    for n, a, b in [(1, 10, 20), (2, 10, 10), (3, None, 30), (4, None, None), (5, 40, 20)]:
+        for x in [v for i, v in people if i == a and a is not None] or [None]:
+            for y in [v for i, v in people if i == b and b is not None] or [None]:
+                expected.append((n, x, y))
+    assert rows(got.select("n", "a_name", "b_name")) == sorted(expected, key=str)
+    assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) == (strategy is None)
+
+
+@pytest.mark.parametrize("bucket", [1, 7, 1024])
+def test_first_covering_range(spark, bucket):
+    ranges = [("u", 2, 5, 40, 7), ("u", 1, 20, 25, 8), ("u", 3, 30, 60, 9), ("v", 1, -12, -3, 4)]
+    table = spark.createDataFrame(ranges, "type string, position int, start int, end int, rounds int")
+    points = [(k, p) for k in "uvw" for p in range(-15, 65)]
+    fact = spark.createDataFrame(points, "type string, year int")
+    got = {(r.type, r.year): r.rounds for r in joins.range_value(fact, table, ["type"], "year", "rounds", "rounds", bucket=bucket).collect()}
+    for k, p in points:
+        held = min(((position, v) for t, position, a, b, v in ranges if t == k and a <= p <= b), default=(0, 0))
+        assert got[k, p] == held[1]
+
+
+def test_long_range_is_not_broadcast(spark):
+    ranges = spark.createDataFrame([("u", 1, 1, 5_000_000, 3)], "type string, position int, start int, end int, rounds int")
+    fact = spark.range(10).selectExpr("'u' AS type", "cast(id * 1000000 AS int) AS year")
+    found = joins.range_value(fact, ranges, ["type"], "year", "rounds", "rounds")
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.rounds for r in found.collect()) == [0] * 5 + [3] * 5
 
 
 # ---- best match ------------------------------------------------------------------------
 
 def brute_force(wanted, candidates, threshold=0.6):
-    result = {}
+    """The candidate of highest (score, earlier place); an exact name wins with its last values."""
+    found = {}
     for block, name in wanted:
+        scored = [(SequenceMatcher(None, name.upper(), n.upper()).ratio(), -i, v) for i, (b, n, v) in enumerate(candidates) if b == block]
         exact = [v for b, n, v in candidates if (b, n) == (block, name)]
-        best, best_score = (exact[-1] if exact else None), 0
-        if not exact:
-            for b, n, v in candidates:
-                score = SequenceMatcher(None, name.upper(), n.upper()).ratio()
-                if b == block and score > best_score and score >= threshold:
-                    best, best_score = v, score
-        result[block, name] = best
-    return result
+        close = [s for s in scored if s[0] >= threshold]
+        found[block, name] = exact[-1] if exact else max(close)[2] if close else None
+    return found
 
 
 def test_best_match_equals_brute_force(spark):
@@ -172,12 +180,15 @@ def test_season_scopes(given, seasons):
     assert scope.make_scope(earliest=1871, today=TODAY, **given).seasons == seasons
 
 
-@pytest.mark.parametrize(
-    "given",
-    [{"full_history": True, "season": 2020}, {"start_season": 2020}, {"end_season": 2020},
-     {"season": 2020, "start_season": 2019, "end_season": 2021}, {"season": 2020, "date": TODAY},
-     {"full_history": True, "date": TODAY}, {"start_date": TODAY},
-     {"date": TODAY, "start_date": TODAY, "end_date": TODAY}])
+_CHOICES = {
+    "history": {"full_history": True}, "season": {"season": 1987}, "seasons": {"start_season": 1987, "end_season": 1990},
+    "day": {"date": TODAY}, "days": {"start_date": TODAY - dt.timedelta(9), "end_date": TODAY},
+}
+_CONFLICTS = [{**a, **b} for i, a in enumerate(_CHOICES.values()) for b in list(_CHOICES.values())[i + 1 :]]
+_HALVES = [{k: v} for choice in (_CHOICES["seasons"], _CHOICES["days"]) for k, v in choice.items()]
+
+
+@pytest.mark.parametrize("given", _CONFLICTS + _HALVES)
 def test_conflicting_scopes(given):
     with pytest.raises(ValueError):
         scope.make_scope(earliest=1871, today=TODAY, **given)
@@ -197,10 +208,11 @@ def test_unknown_resource():
 
 
 def test_month_chunks(spark):
-    df = spark.createDataFrame([(dt.date(2024, 11, 15), dt.date(2025, 2, 28))], "a date, b date")
+    first, last = dt.date(2019, 12, 30), dt.date(2020, 3, 2)
+    df = spark.createDataFrame([(first, last)], "a date, b date")
     got = [tuple(r) for r in df.select(F.inline(scope.month_chunks(F.col("a"), F.col("b")))).collect()]
-    d = dt.date
-    assert got == [(d(2024, 11, 15), d(2024, 11, 30)), (d(2024, 12, 1), d(2024, 12, 31)),
-                   (d(2025, 1, 1), d(2025, 1, 31)), (d(2025, 2, 1), d(2025, 2, 28))]
+    days = [d for a, b in got for d in (a + dt.timedelta(i) for i in range((b - a).days + 1))]
+    assert days == [first + dt.timedelta(i) for i in range((last - first).days + 1)]
+    assert all((a.year, a.month) == (b.year, b.month) for a, b in got) and len(got) == 4
     empty = spark.createDataFrame([(dt.date(2024, 5, 2), dt.date(2024, 5, 1))], "a date, b date")
     assert empty.select(F.inline(scope.month_chunks(F.col("a"), F.col("b")))).count() == 0

@@ -180,3 +180,19 @@ def test_draft_page(spark):
         "Year": "2020", "Rnd": "1", "RdPck": "5", "G": "10", "GP": None, "Name": "John Doe", "Tm": "Yankees",
         "link": "/players/d/doejo01.shtml", "id_type": "baseball_reference_id", "player_id": "doejo01",
         "notes": "NA", "team_id": "NYY", "draft_type": "junreg"}
+
+
+def test_rows_of_pages_without_end_tags(spark):
+    page = "<table><tr><th>Year<th>Rnd<tr><td>2020<td>1<td>more<tr><td>2021<td>2</table><table><tr><td>x<td>y</table><table><tr><th>A<tr><td>last"
+    df = spark.createDataFrame([(1, page), (2, None)], "id int, html string")
+    got = [{k: v["text"] for k, v in r.cells.items()} for r in pages.table_rows(df, "html", ["id"]).orderBy("row_index").collect()]
+    assert got == [
+        {"Year": "2020", "Rnd": "1", "column_2": "more"}, {"Year": "2021", "Rnd": "2"}, {"column_0": "x", "column_1": "y"}, {"A": "last"}]
+
+
+def test_seasons_without_rosters_or_umpires(spark, tmp_path):
+    (tmp_path / "seasons" / "1999").mkdir(parents=True)
+    for read in (csv_files.read_rosters, csv_files.read_umpires):
+        with pytest.warns(UserWarning, match="no season"):
+            df = read(spark, str(tmp_path))
+        assert df.count() == 0 and df.columns[-1] == "season"

@@ -18,7 +18,21 @@ def op2_quality_discriminant(t):
     return quality.classify(t.documents, t.labels)
 
 
-@REGISTRY.add("op3_pivot_top_k")
+@REGISTRY.add(
+    "op3_pivot_top_k",
+    """
+    WITH v AS (
+        SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM s QUALIFY rank <= 20
+    """,
+)
 def op3_pivot_top_k(t):
     return topk.top_k(t.embeddings)
 
@@ -59,7 +73,30 @@ def op7_exact_complement_packing(t):
     return packing.pack(t.documents)
 
 
-@REGISTRY.add("op6_prefix_suffix_trees")
+@REGISTRY.add(
+    "op6_prefix_suffix_trees",
+    r"""
+    WITH w AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(words[i : i + 49], ' ') AS content
+        FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS i FROM w)
+    ), hits AS (
+        SELECT doc_id, i FROM windows JOIN (SELECT content, min(doc_id) AS least FROM windows GROUP BY content) USING (content)
+        WHERE least < doc_id
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS place FROM hits
+    ), kept AS (
+        SELECT doc_id, word, place FROM (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS place FROM w)
+        ANTI JOIN gone USING (doc_id, place)
+    ), texts AS (
+        SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text FROM kept GROUP BY doc_id
+    )
+    SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(text, '')) AS kept_sha256
+    FROM w LEFT JOIN texts USING (doc_id)
+    """,
+)
 def op6_prefix_suffix_trees(t):
     return substring.digests(t.documents)
 

@@ -8,6 +8,7 @@ often as its lengths are available. Pieces then find their place from their rank
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,7 +41,7 @@ class Encoder:
     one unit each, in one text, other words alone.
     """
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,7 +52,7 @@ class Encoder:
         self.cores: dict[str, bytes] = {}
         self.old_words: dict[bytes, bytes] = {}
         self.old_cores: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.marks: dict[bytes, bytes] = {}
 
     def alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -63,26 +64,34 @@ class Encoder:
         if len(self.cores) > self.limit:
             self.cores, self.old_cores = {}, self.cores
         if len(self.marks) > self.limit:
-            self.marks = {"": b""}
+            self.marks = {}
         missing = words - self.words.keys()
         known = missing & self.old_words.keys()
         self.words.update((w, self.old_words[w]) for w in known)
-        split: list[tuple[bytes, str, str]] = []
-        for raw in missing - known:
+        missing -= known
+        # Plain words by their letters and marks; two flat lists, as a list of many tuples is slow to free.
+        plain: list[bytes] = []
+        cores: list[str] = []
+        for raw in missing:
             text = raw.decode()
             core = text.rstrip(_MARKS)
-            if core.isalpha() and max(core) < "\u0100":
-                split.append((raw, core.lower(), text[len(core) :]))
+            if core.isalpha() and (raw.isascii() or max(core) < "\u0100"):
+                plain.append(raw)
+                cores.append(core.lower())
             else:
                 self.words[raw] = self.alone(text)
-        wanted = {core for _, core, _ in split} - self.cores.keys()
+        wanted = set(cores) - self.cores.keys()
         known_cores = wanted & self.old_cores.keys()
         self.cores.update((c, self.old_cores[c]) for c in known_cores)
         self._together(sorted(wanted - known_cores))
-        for raw, core, mark in split:
-            if mark not in self.marks:
-                self.marks[mark] = self.alone(mark)
-            self.words[raw] = self.cores[core] + self.marks[mark] if mark else self.cores[core]
+        for raw, core in zip(plain, cores):
+            ids = self.cores[core]
+            mark = raw[len(core.encode()) :]
+            if mark:
+                if mark not in self.marks:
+                    self.marks[mark] = self.alone(mark.decode())
+                ids += self.marks[mark]
+            self.words[raw] = ids
 
     def _together(self, cores: list[str]) -> None:
         for at in range(0, len(cores), 1000):
@@ -98,7 +107,12 @@ class Encoder:
 
     def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
         split = [(text or b"").split() for text in texts]
-        self.learn(set().union(*split))
+        # Many small objects and no cycles: the cycle collector would only walk the caches.
+        gc.disable()
+        try:
+            self.learn(set().union(*split))
+        finally:
+            gc.enable()
         for words in split:
             yield b"".join(map(self.words.__getitem__, words))
 

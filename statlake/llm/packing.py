@@ -33,6 +33,15 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
 class Encoder:
     """Token ids, as little-endian bytes, of words between ASCII white space.
 
@@ -41,11 +50,8 @@ class Encoder:
     one unit each, in one text, other words alone.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+    def __init__(self, path: str, limit: int = 300_000):
+        self.tokenizer = _tokenizer(path)
         self.limit = limit
         # Two generations each: what is met again outlives the change.
         self.words: dict[bytes, bytes] = {}
@@ -117,18 +123,14 @@ class Encoder:
             yield b"".join(map(self.words.__getitem__, words))
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def token_pieces(
     docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document; a null text is empty."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        encoder = _encoder(path or tokenizer_path())
+        # Of this task alone: a worker kept for other work holds no words.
+        encoder = Encoder(path or tokenizer_path())
         end = np.array([end_id], "<u4").tobytes()
         for held in in_groups(rows):
             for (doc_id, _), ids in zip(held, encoder.encode([text for _, text in held])):

@@ -89,7 +89,7 @@ def test_words_give_the_ids_of_the_text(text):
     path = packing.tokenizer_path()
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    encoder = packing._encoder(path)
+    encoder = packing.Encoder(path)
     got = np.frombuffer(next(encoder.encode([text.encode()])), "<u4").tolist()
     assert got == tokenizer.encode(text, add_special_tokens=False).ids
 

@@ -269,10 +269,15 @@ def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
     Among equal ids the one of least text hash; of rows of equal id and text one. A row without id stays
     only if no row of its component has an id.
     """
-    prints, found = classes(docs, size)
+    return best_of_each(docs, *classes(docs, size))
+
+
+def best_of_each(docs: DataFrame, prints: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, from (doc_id, version, fp) of its rows and (fp, root)."""
     rows = prints.groupBy("doc_id", "version", "fp").agg(F.count("*").alias("copies"))
     order = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id"), F.col("version"), F.col("copies"))
-    best = rows.join(found.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("best"))
+    firsts = rows.groupBy("fp").agg(F.min(order).alias("best"))
+    best = firsts.join(found.select("fp", "root"), "fp").groupBy("root").agg(F.min("best").alias("best"))
     kept = best.select(
         F.col("best.doc_id").alias("__id"), F.col("best.version").alias("__version"), F.col("best.copies").alias("__copies")
     )

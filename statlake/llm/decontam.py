@@ -27,7 +27,10 @@ RANK, EXTRA, BLOCK, PASSAGE = 64, 8, 8, 32
 SLOTS, SHARED, SLICE_ITEMS = 1 << 20, 4096, 512
 #: Share of the sketch's energy that the benchmark's passages have.
 BENCHMARK_ENERGY = 0.8
-COSINE, COEFFICIENT = 0.7, 0.5
+#: Gate of a window: its cosine with a passage, and the share of the passage's latent length it must hold. At the
+#: worst place a window lacks two words of a passage; both lie well below what ``COMMON_WITH_ANSWER`` of the rest
+#: gives, as the words that are kept may be the lighter ones.
+COSINE, COEFFICIENT = 0.35, 0.3
 #: Least longest-common-subsequence share of an item; with the answer found; of the answer itself.
 COMMON, COMMON_WITH_ANSWER, ANSWER = 0.7, 0.5, 0.8
 _EDGE = b".,;:!?\"'()[]"
@@ -243,9 +246,9 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
         [project[space.rows(benchmark[i].terms[a : a + n])].sum(0) for i, p in asked for a, n in [benchmark[i].parts[p]]]
     )
     norms = np.linalg.norm(vectors, axis=1)
-    # Windows of an even number of blocks; the shortest passages have one.
-    lengths = np.array([benchmark[i].parts[p][1] / BLOCK for i, p in asked])
-    blocks = np.where(lengths < 1.5, 1, np.clip(2 * np.round(lengths / 2), 2, 8)).astype(int)
+    # Longer than the passage by three words at least: of the windows at every block start one lacks two at most.
+    lengths = np.array([benchmark[i].parts[p][1] for i, p in asked])
+    blocks = -(-(lengths + BLOCK // 2 - 1) // BLOCK)
     groups = []
     for size in np.unique(blocks):
         own = np.flatnonzero((blocks == size) & (norms > 1e-6))
@@ -262,15 +265,12 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
         owner = np.searchsorted(borders, starts, "right") - 1
         end = last[owner]
         at = np.arange(len(starts))
-        first = np.r_[True, owner[1:] != owner[:-1]]
         for size, own, queries, lengths in groups:
-            step = 1 if size < 4 else 2
-            here = np.flatnonzero(first | (at + size <= end) & ((end - at - size) % step == 0))
-            z = (total[np.minimum(here + size, end[here])] - total[here]).astype(np.float32)
+            z = (total[np.minimum(at + size, end)] - total[at]).astype(np.float32)
             norm = np.sqrt(np.einsum("ij,ij->i", z, z)) + 1e-6
             # No product exceeds the product of the norms.
             able = norm >= COEFFICIENT * lengths.min()
-            here, z, norm = here[able], z[able], norm[able]
+            here, z, norm = at[able], z[able], norm[able]
             dots = z @ queries
             w, q = np.nonzero((dots >= COSINE * norm[:, None]) & (dots >= COEFFICIENT * lengths))
             yield from zip(own[q].tolist(), starts[here[w]].tolist(), owner[here[w]].tolist(), (dots[w, q] / norm[w]).tolist())

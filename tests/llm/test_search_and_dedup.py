@@ -242,6 +242,31 @@ def test_decontamination_finds_planted_items(spark, documents):
     assert decontam.clean(docs, benchmark.limit(0)).count() == len(rows)
 
 
+def test_decontamination_finds_paraphrases_at_every_offset(spark, documents):
+    """Half of the words with the answer, and 0.7 without it, at all 16 places of a block pair; two slices of items."""
+    rng = random.Random(77)
+    items = [(i, sentence(rng, 11 + 4 * (i % 12)) + ". " + sentence(rng, 5 + i % 4) + ".") for i in range(560)]
+    rows, expected = [], set()
+    for item in range(24):
+        words = items[item][1].split()
+        n, answer = len(words), 5 + item % 4
+        for offset in range(16):
+            half = offset % 2 == item // 12
+            spared = set(range(n - answer, n)) if half else set()
+            least = -(-n * (5 if half else 7) // 10)
+            free = [j for j in range(n) if j not in spared]
+            kept = spared | set(rng.sample(free, max(0, least - len(spared))))
+            text = [w if j in kept else f"other{rng.randrange(500)}" for j, w in enumerate(words)]
+            doc = 1000 * item + offset
+            rows.append((doc, f"{sentence(rng, 32 + offset)} {' '.join(text)} {sentence(rng, 40)}", "en"))
+            expected.add((doc, item))
+    rows += [(100_000 + i, sentence(rng, 120), "en") for i in range(300)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(documents(rows), benchmark).collect()}
+    assert not expected - got, (len(expected - got), len(expected), sorted(expected - got)[:10])
+    assert not {d for d, _ in got if d >= 100_000}
+
+
 def test_common_subsequence():
     a, b = np.array([1, 2, 3, 4, 2]), np.array([2, 9, 3, 2])
     assert decontam.common_length(a, b) == 3

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from statlake.llm.common import blob, held_out, id_column, map_rows
 
 HIDDEN, SEGMENT, BATCH = 8, 96, 1024
-#: Learning rows and their segments for each language, at most; languages, the most frequent ones.
-SAMPLE_ROWS, ROW_SEGMENTS, MOST_LANGUAGES = 1500, 3, 64
+#: Learning rows and their segments for each language, at most.
+SAMPLE_ROWS, ROW_SEGMENTS = 1500, 3
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
@@ -170,8 +170,10 @@ def _labelled(net: Network, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np
     start, end, owner = _segments(lengths)
     borders = np.r_[0, np.cumsum(lengths)]
     reach = np.arange(SEGMENT)[:, None]
-    for at in range(0, len(start), BATCH):
-        s, e, o = start[at : at + BATCH], end[at : at + BATCH], owner[at : at + BATCH]
+    # Many languages take smaller batches, so that the probabilities' size stays bounded.
+    batch = max(1, BATCH * 64 // max(64, len(net.languages)))
+    for at in range(0, len(start), batch):
+        s, e, o = start[at : at + batch], end[at : at + batch], owner[at : at + batch]
         place = s[None, :] + reach
         mask = place < e[None, :]
         held = np.where(mask, data[np.minimum(place, len(data) - 1)], 0)
@@ -219,7 +221,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, row_segments: int = ROW
     each, reach the driver.
     """
     rows = docs.filter(F.col("lang").isNotNull() & (F.octet_length(F.col("text").cast("binary")) > 0))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()  # one row for each language
     if not counts:
         return None
     rates = [x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.3 * sample_rows / r["count"])))]

@@ -33,12 +33,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
+@lru_cache(maxsize=2)
+def _tokenizer(path: str, as_text: bool):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = as_text
     return tokenizer
 
 
@@ -47,11 +47,12 @@ class Encoder:
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words.
     Words not met before are encoded together: plain letters of Latin-1, which lower one by one and are
-    one unit each, in one text, other words alone.
+    one unit each, in one text, other words alone. Special tokens written in a text, which hold no white
+    space, are letters and marks like any other if ``as_text``, else their own ids.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
-        self.tokenizer = _tokenizer(path)
+    def __init__(self, path: str, limit: int = 300_000, as_text: bool = True):
+        self.tokenizer = _tokenizer(path, as_text)
         self.limit = limit
         # Two generations each: what is met again outlives the change.
         self.words: dict[bytes, bytes] = {}
@@ -130,7 +131,7 @@ def token_pieces(
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         # Of this task alone: a worker kept for other work holds no words.
-        encoder = Encoder(path or tokenizer_path())
+        encoder = Encoder(path or tokenizer_path(), as_text=False)
         end = np.array([end_id], "<u4").tobytes()
         for held in in_groups(rows):
             for (doc_id, _), ids in zip(held, encoder.encode([text for _, text in held])):
@@ -175,7 +176,7 @@ class _Counts:
             spectrum = np.fft.rfft((self.n > 0).astype(float), size)
             self._sums = np.fft.irfft(spectrum * spectrum, size)[: len(self.n)] > 0.5
         held = np.flatnonzero(self.n[: gap + 1])
-        for length in held[self._sums[gap - held]][::-1][:16]:
+        for length in held[self._sums[gap - held]][::-1]:
             self.n[length] -= 1
             rest = self.pair(gap - int(length))
             self.n[length] += 1

@@ -53,14 +53,14 @@ def decide(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     revisits = (
         large.join(groups, ["digest", "payload_bytes"])
         .filter("page_id < refers_to")
-        .select("page_id", "refers_to")
+        .select("page_id", "digest", "payload_bytes", "refers_to")
         .distinct()
     )
     return (
-        rows.repartition(shuffle_width(rows), "page_id")
-        .join(revisits, "page_id", "left")
-        .withColumn("payload_bytes", F.octet_length("payload").cast("bigint"))
+        rows.withColumn("payload_bytes", F.octet_length("payload").cast("bigint"))
         .withColumn("digest", F.sha1("payload"))
+        .repartition(shuffle_width(rows), "page_id", "digest", "payload_bytes")
+        .join(revisits, ["page_id", "digest", "payload_bytes"], "left")
     )
 
 

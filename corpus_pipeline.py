@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm import decontam, near, packing, substring, toxicity
+from statlake.llm import decontam, packing, simhash, substring, toxicity
 from statlake.llm.common import written
 
 
@@ -25,12 +25,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of smallest id, of rows of equal id and text one.
+    """Of each component of linked fingerprints the document of smallest id, of rows of equal id and text one.
 
-    Near duplicates share 0.8 or more of their five-word shingles, by exact count, or are linked by others
-    that do. A document without id stays only if no document of its group has one.
+    Shingles of three words and at most three differing bits, as in the operator's own query. A document
+    without id stays only if no document of its component has one; texts without words are one component.
     """
-    return near.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

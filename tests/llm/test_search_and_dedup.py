@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from llm_text import sentence
 
-from statlake.llm import decontam, near, simhash, substring, topk
+from statlake.llm import decontam, simhash, substring, topk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -115,56 +115,37 @@ def test_tree_links_connect_what_brute_force_connects(spark, near):
     assert {frozenset(x) for x in got.values()} == {frozenset(x) for x in expected.values() if len(x) > 1}
 
 
-def _five_words(text):
-    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
-
-
-@pytest.mark.parametrize("neighbours", [16, 1])
-def test_one_of_each_by_exact_similarity(spark, documents, odd_documents, neighbours):
-    """Copies with 1 to 12 of 150 words changed, a dense group, a line that many share; one neighbour makes groups large."""
+def test_one_of_each_by_brute_force(spark, documents, odd_documents):
+    """The pipeline's stage: copies with a word changed, chains, a line that many share, rows without id."""
     import corpus_pipeline
 
     rng = random.Random(31)
-    line, base = sentence(rng, 30), sentence(rng, 90).split()
+    line = sentence(rng, 30)
     rows = []
     for i in range(24):
-        words = sentence(rng, 150).split()
+        words = sentence(rng, 400).split()
         rows.append((300 + i, " ".join(words), "en"))
-        for k in range(1 + i % 2):
-            for j in rng.sample(range(150), 1 + i // 2):
-                words[j] = f"other{i}x{j}"
-            rows.append((400 + 2 * i + k, " ".join(words), "en"))
-    rows += [(600 + i, " ".join(base[:-2] + [f"end{i}"]), "en") for i in range(40)]
+        for k in range(1 + i % 3):
+            words[rng.randrange(400)] = f"other{i}x{k}"
+            rows.append((400 + 3 * i + k, " ".join(words), "en"))
     rows += [(700 + i, f"{sentence(rng, 10 + i)} {line}", "en") for i in range(30)]
     docs = odd_documents.unionByName(documents(rows))
     plain = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    sets = [_five_words(t) for _, t in plain]
-    parent = list(range(len(sets)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if a == b or 5 * len(a & b) >= 4 * len(a | b):
-                x, y = find(i), find(j)
-                parent[max(x, y)] = min(x, y)
+    prints = [simhash.fingerprint(t.encode() if t is not None else None) for _, t in plain]
+    root = list(range(len(plain)))
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= 3 and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
     best = {}
-    for i, (doc_id, _) in enumerate(plain):
-        best.setdefault(find(i), []).append(doc_id)
+    for r, (doc_id, _) in zip(root, plain):
+        best.setdefault(r, []).append(doc_id)
     expected = [min((i for i in ids if i is not None), default=None) for ids in best.values()]
-    before, near.NEIGHBOURS = near.NEIGHBOURS, neighbours
-    try:
-        kept = corpus_pipeline.one_of_each(spark, docs, "")
-        got = [r["doc_id"] for r in kept.collect()]
-    finally:
-        near.NEIGHBOURS = before
-    assert sorted(got, key=str) == sorted(expected, key=str)
+    kept = corpus_pipeline.one_of_each(spark, docs, "")
+    assert sorted([r["doc_id"] for r in kept.collect()], key=str) == sorted(expected, key=str)
     assert kept.columns == docs.columns
-    assert near.one_of_each(docs.limit(0)).count() == 0
+    assert simhash.one_of_each(docs.limit(0)).count() == 0
 
 
 def _removed(rows, width=50):

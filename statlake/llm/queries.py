@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontam, language, lm, packing, quality, simhash, substring, topk, toxicity, warc
+from statlake.llm import decontam, language, licenses, lm, merkle, packing, quality, simhash, sql, substring, topk, toxicity, warc
 from statlake.registered.base import Registry
 
 REGISTRY = Registry()
@@ -109,3 +109,13 @@ def op8_byte_gru_language(t):
 @REGISTRY.add("op10_log_bilinear_scores")
 def op10_log_bilinear_scores(t):
     return lm.score(t.documents)
+
+
+@REGISTRY.add("op11_merkle_manifest", sql.merkle())
+def op11_merkle_manifest(t):
+    return merkle.verified(t.documents, merkle.every_third_lowered())
+
+
+@REGISTRY.add("op13_positional_licenses", sql.licenses())
+def op13_positional_licenses(t):
+    return licenses.report(t.documents)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from statlake.llm import decontam, language, licenses, lm, merkle, packing, quality, simhash, sql, substring, topk, toxicity, warc
+from pyspark.sql import functions as F
+
+from statlake.llm import decontam, language, licenses, lm, merkle, negatives, packing, quality, simhash, sql, substring, topk, toxicity, warc
 from statlake.registered.base import Registry
 
 REGISTRY = Registry()
@@ -116,6 +118,34 @@ def op11_merkle_manifest(t):
     return merkle.verified(t.documents, merkle.every_third_lowered())
 
 
+@REGISTRY.add(
+    "op12_shared_list_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+        FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0
+    ), p AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+    """,
+)
+def op12_shared_list_negatives(t):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(t.embeddings.withColumn("label", label))
+
+
 @REGISTRY.add("op13_positional_licenses", sql.licenses())
 def op13_positional_licenses(t):
     return licenses.report(t.documents)

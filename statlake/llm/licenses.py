@@ -16,8 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import written
-
 #: Rare words of a template in the index.
 RARE = 6
 #: Words that a key phrase may stand before or after its place in the template.
@@ -97,92 +95,91 @@ def document_counts(texts: DataFrame, vocabulary: Sequence[str]) -> dict[str, in
     return {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
 
 
-def postings(templates: Sequence[Template], counts: dict[str, int], rare: int = RARE) -> list[tuple[str, int, int]]:
-    """(word, template number, place) of the rarest words of each template that any document holds.
+def postings(template: Template, counts: dict[str, int], rare: int = RARE) -> list[tuple[str, int]]:
+    """(word, place) of the words of the template with the highest inverse document frequency, ties by word.
 
-    Rarest first is highest inverse document frequency first; ties by word.
+    Words that no document holds are the rarest: a document agrees with the template only in the others.
     """
-    out = []
-    for number, template in enumerate(templates):
-        held = sorted({w for w in template.words if counts.get(w)}, key=lambda w: (counts[w], w))[:rare]
-        out += [(w, number, place) for place, w in enumerate(template.words) if w in held]
-    return out
+    held = sorted(set(template.words), key=lambda w: (counts.get(w, 0), w))[:rare]
+    return [(w, place) for place, w in enumerate(template.words) if w in held]
+
+
+def _starts(index: Sequence[tuple[str, int]]) -> Column:
+    """Sorted starts that the document's rare words give the template, one for each posting met."""
+
+    def given(word: str, place: int) -> Column:
+        return F.transform(F.filter("hits", lambda h: h["word"] == word), lambda h: h["place"] - place)
+
+    return F.when(F.size("hits") > 0, F.array_sort(F.concat(*[given(w, p) for w, p in index])))
 
 
-def _near(phrase: tuple[str, ...], at: int, slack: int) -> Column:
+def _agreed(starts: str, size: int) -> Column:
+    """The starts that at least half of the postings give: equal ones stand side by side."""
+    need = (size + 1) // 2
+    return F.array_distinct(F.filter(starts, lambda start, i: F.get(F.col(starts), i + (need - 1)) == start))
+
+
+def _near(start: Column, phrase: tuple[str, ...], at: int, slack: int) -> Column:
     """Whether the phrase stands at place ``at`` after the start, or ``slack`` words before or after."""
 
     def here(d: Column) -> Column:
-        place = F.col("start") + at + d
+        place = start + at + d
         return (place >= 0) & (F.slice("words", F.greatest(place, F.lit(0)) + 1, F.lit(len(phrase))) == _literal(phrase))
 
     return F.exists(F.sequence(F.lit(-slack), F.lit(slack)), here)
 
 
-def _stands(template: Template) -> Column:
-    """Whether all key phrases stand near their places, for a candidate (start) in ``words``."""
-    checks = []
-    for phrase in template.phrases:
-        ends = range(len(template.words) - len(phrase) + 1)
-        checks.append(_near(phrase, next(i for i in ends if template.words[i : i + len(phrase)] == phrase), template.slack))
-    return reduce(Column.__and__, checks)
+def _place(template: Template, phrase: tuple[str, ...]) -> int:
+    ends = range(len(template.words) - len(phrase) + 1)
+    place = next((i for i in ends if template.words[i : i + len(phrase)] == phrase), None)
+    if place is None:
+        raise ValueError(f"{template.label}: key phrase {' '.join(phrase)} is not in the template")
+    return place
+
 
+def _stands(template: Template, start: Column) -> Column:
+    """Whether all key phrases stand near their places."""
+    return reduce(Column.__and__, [_near(start, p, _place(template, p), template.slack) for p in template.phrases])
 
-def _agreeing(template: Template) -> Column:
-    """Words of the template that stand at their very places."""
-    held = F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.lit(len(template.words)))
-    # A template may begin before the text does.
-    own = F.slice(_literal(template.words), F.greatest(-F.col("start"), F.lit(0)) + 1, F.lit(len(template.words)))
-    same = F.zip_with(held, own, lambda a, b: F.when(a == b, 1).otherwise(0))
-    return F.aggregate(same, F.lit(0), lambda n, x: n + F.coalesce(x, F.lit(0)))
 
+def _share(template: Template, start: Column) -> Column:
+    """The part of the template's words that stand at their very places; it may begin before the text does."""
+    held = F.slice("words", F.greatest(start, F.lit(0)) + 1, F.lit(len(template.words)))
+    own = F.slice(_literal(template.words), F.greatest(-start, F.lit(0)) + 1, F.lit(len(template.words)))
+    same = F.filter(F.zip_with(held, own, lambda a, b: a == b), lambda x: x)
+    return F.size(same) / F.lit(len(template.words))
 
-def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> tuple[DataFrame, DataFrame]:
-    """Written tables: files (file, doc_id, n_words) and matches (file, label, base, start, n_words, share).
 
-    One match for each place at which a template stands; ``share`` is the part of its words found at their
-    very places. Files without words have none; the text is read twice, once for the counts.
+def _match(template: Template, start: Column) -> Column:
+    return F.struct(
+        F.lit(template.label).alias("label"), F.lit(template.base).alias("base"), start.cast("bigint").alias("start"),
+        F.lit(len(template.words)).alias("n_words"), _share(template, start).alias("share"),
+    )
+
+
+def _matches(template: Template, starts: str) -> Column:
+    stood = F.filter(starts, lambda start: _stands(template, start))
+    return F.transform(stood, lambda start: _match(template, start))
+
+
+def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
+    """doc_id, n_words and matches of every row: label, base, start, n_words, share.
+
+    One match for each place at which a template stands. The texts are read twice, once for the counts;
+    after that a document is looked up, intersected and verified in its own row, without a shuffle.
     """
-    for template in templates:
-        for phrase in template.phrases:
-            if not any(template.words[i : i + len(phrase)] == phrase for i in range(len(template.words))):
-                raise ValueError(f"{template.label}: key phrase {' '.join(phrase)} is not in the template")
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), words(F.col("`text`")).alias("words"))
-    index = postings(templates, document_counts(texts, {w for t in templates for w in t.words}))
-    rare = sorted({w for w, _, _ in index})
+    counts = document_counts(texts, {w for t in templates for w in t.words})
+    index = [postings(t, counts) for t in templates]
+    rare = sorted({w for own in index for w, _ in own if counts.get(w)})
     placed = F.transform("words", lambda w, i: F.struct(i.alias("place"), w.alias("word")))
     hits = F.filter(placed, lambda h: h["word"].isin(rare)) if rare else F.array().cast("array<struct<place:int,word:string>>")
-    found = texts.withColumn("hits", hits).select(
-        F.monotonically_increasing_id().alias("file"), "doc_id", F.size("words").cast("bigint").alias("n_words"), "hits",
-        # Words are kept where a phrase may have to be verified.
-        F.when(F.size("hits") > 0, F.col("words")).alias("words"),
-    )
-    files = written(found, "license-files")
-    sizes = [sum(1 for _, t, _ in index if t == number) for number in range(len(templates))]
-    # As many rows as the templates have words.
-    rows = [F.struct(F.lit(w).alias("word"), F.lit(t).alias("template"), F.lit(p).alias("own"), F.lit(sizes[t]).alias("size")) for w, t, p in index]
-    none = F.array().cast("array<struct<word:string,template:int,own:int,size:int>>")
-    entries = spark.range(1).select(F.inline(F.array(*rows) if rows else none))
-    met = files.select("file", F.explode("hits").alias("h")).join(F.broadcast(entries), F.col("h.word") == F.col("word"))
-    starts = met.groupBy("file", "template", "size", (F.col("h.place") - F.col("own")).alias("start")).agg(F.count("*").alias("agree"))
-    # One row a document again, so that its words are joined once.
-    candidates = starts.filter(2 * F.col("agree") >= F.col("size")).groupBy("file").agg(F.collect_list(F.struct("template", "start")).alias("c"))
-    opened = files.filter("words IS NOT NULL").select("file", "words").join(candidates, "file")
-    opened = opened.select("file", "words", F.explode("c").alias("c")).select("file", "words", "c.*")
-
-    def by_template(of, otherwise) -> Column:
-        out = F.lit(otherwise)
-        for number, template in enumerate(templates):
-            out = F.when(F.col("template") == number, of(template)).otherwise(out)
-        return out
-
-    kept = opened.filter(by_template(_stands, False)).select(
-        "file", by_template(lambda t: F.lit(t.label), "").alias("label"), by_template(lambda t: F.lit(t.base), False).alias("base"),
-        F.col("start").cast("bigint").alias("start"), by_template(lambda t: F.lit(len(t.words)), 1).alias("n_words"),
-        (by_template(_agreeing, 0) / by_template(lambda t: F.lit(len(t.words)), 1)).alias("share"),
-    )
-    return files.select("file", "doc_id", "n_words"), written(kept, "license-matches")
+    met = texts.withColumn("hits", hits)
+    met = met.withColumns({f"s{t}": _starts(own) for t, own in enumerate(index)})
+    met = met.withColumns({f"s{t}": _agreed(f"s{t}", len(own)) for t, own in enumerate(index)})
+    found = [_matches(template, f"s{t}") for t, template in enumerate(templates)]
+    none = F.array().cast("array<struct<label:string,base:boolean,start:bigint,n_words:int,share:double>>")
+    return met.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.when(F.size("hits") > 0, F.concat(*found)).otherwise(none).alias("matches"))
 
 
 def report(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
@@ -192,19 +189,13 @@ def report(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFr
     rows each appear; an empty table gives an empty result, and other columns are ignored. The score is the
     largest share of a template's words that stand at their places, 1 for a base phrase.
     """
-    files, matches = scan(docs, templates)
-    base = F.col("base")
-
     def labels(of: Column) -> Column:
-        return F.array_join(F.sort_array(F.collect_set(of)), ",")
-
-    own = matches.groupBy("file").agg(
-        F.count_if(base).alias("n_base"), F.min(F.when(base, F.col("start"))).alias("first_word"),
-        F.max(F.when(base, F.col("start"))).alias("last_word"), labels(F.when(base, F.col("label"))).alias("base_labels"),
-        labels(F.col("label")).alias("labels"), F.max("share").alias("score"),
-    )
-    return files.join(own, "file", "left").select(
-        "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("bigint").alias("n_base"), "first_word", "last_word",
-        F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
-        F.coalesce("score", F.lit(0.0)).alias("score"),
+        return F.array_join(F.array_sort(F.array_distinct(of)), ",")
+
+    found = scan(docs, templates).withColumn("places", F.filter("matches", lambda m: m["base"]))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(F.col("places.start")).alias("first_word"), F.array_max(F.col("places.start")).alias("last_word"),
+        labels(F.col("places.label")).alias("base_labels"), labels(F.col("matches.label")).alias("labels"),
+        F.coalesce(F.array_max(F.col("matches.share")), F.lit(0.0)).alias("score"),
     )

@@ -102,8 +102,8 @@ def licenses(templates: Sequence[Template] = TEMPLATES, rare: int = RARE) -> str
     ), counts AS (
         SELECT word, count(DISTINCT file) AS n FROM used GROUP BY word
     ), rare AS (
-        SELECT t, word FROM (SELECT DISTINCT t, word FROM tw) JOIN counts USING (word)
-        QUALIFY row_number() OVER (PARTITION BY t ORDER BY n, word) <= {rare}
+        SELECT t, word FROM (SELECT DISTINCT t, word FROM tw) LEFT JOIN counts USING (word)
+        QUALIFY row_number() OVER (PARTITION BY t ORDER BY coalesce(n, 0), word) <= {rare}
     ), postings AS (
         SELECT t, word, place, count(*) OVER (PARTITION BY t) AS size FROM tw JOIN rare USING (t, word)
     ), starts AS (

@@ -24,7 +24,7 @@ def _plain(rows, templates=licenses.TEMPLATES):
     for (doc_id, _), text in zip(rows, texts):
         places, base_labels, labels, score = [], set(), set(), 0.0
         for template in templates:
-            rare = sorted({w for w in template.words if counts[w]}, key=lambda w: (counts[w], w))[: licenses.RARE]
+            rare = sorted(set(template.words), key=lambda w: (counts[w], w))[: licenses.RARE]
             own = [i for i, w in enumerate(template.words) if w in rare]
             for start in range(-len(template.words), len(text)):
                 at = lambda i: text[start + i] if 0 <= start + i < len(text) else None

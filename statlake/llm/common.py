@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -15,6 +16,8 @@ from statlake.session import work_dir
 
 #: Most bytes of text in one block of documents that a Python task holds.
 BLOCK_BYTES = 8 << 20
+#: Rows of an Arrow batch that are plain Python values at a time.
+SLICE_ROWS = 256
 #: Most entries of a per-worker word cache; it is emptied beyond.
 CACHE_WORDS = 200_000
 
@@ -76,6 +79,14 @@ def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def release() -> None:
+    """Gives memory that a task freed back to the machine: workers are used again by later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_rows(
     df: DataFrame, function: Callable[[Iterator[tuple]], Iterable[Sequence]], schema: str, size: int = 4096
 ) -> DataFrame:
@@ -91,9 +102,15 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                yield from zip(*(column.to_pylist() for column in batch.columns))
-
-        yield from arrow_rows(function(rows()), arrow, size)
+                # A batch may hold many long texts: few of them are copied into Python values at a time.
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(at, SLICE_ROWS)
+                    yield from zip(*(column.to_pylist() for column in part.columns))
+
+        try:
+            yield from arrow_rows(function(rows()), arrow, size)
+        finally:
+            release()
 
     return df.mapInArrow(run, schema)
 

@@ -9,9 +9,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.operators.failures import slice_text, split_slices
 from statlake.operators.unions import label_if_absent
+from statlake.session import staged
 from statlake.sources import layouts
-from statlake.sources.sinks import VersionedTable, append_ledger, with_load_id
+from statlake.sources.sinks import with_load_id
+from statlake.sources.tables import FAILURES, LoadedTable, append_ledger, control, drop_schema, open_schema, set_control
 
 
 @dataclass(frozen=True)
@@ -124,40 +127,61 @@ def loader_registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "loader string, full_refresh_only boolean, accepts_dates boolean")
 
 
-def open_table(spark: SparkSession, root: str, table: RawTable) -> VersionedTable:
-    return VersionedTable(spark, f"{root}/{table.loader}/{table.name}", table.key, F.expr(table.partition_by) if table.partition_by else None)
+def open_table(spark: SparkSession, table: RawTable, prefix: str = "") -> LoadedTable:
+    """A raw table in the schema of its loader, whose name may have a prefix."""
+    return LoadedTable(spark, f"{prefix}{table.loader}", table.name, table.key, table.partition_by, table.watermark)
 
 
 def load_table_batch(
     spark: SparkSession,
-    root: str,
     table: RawTable,
     batch: DataFrame,
     load_id: str,
     loaded_at: dt.datetime,
     newest_first: Sequence[Column] | None = None,
+    prefix: str = "",
 ) -> None:
-    """Write one batch and its ledger row. The row follows the data: a load that failed half
-    way is not in the ledger, and running it again gives the same table."""
-    rows = with_load_id(batch, load_id)
-    target = open_table(spark, root, table)
-    if table.replaces:
-        target.replace(rows)
-    else:
-        target.merge(rows, newest_first)
-    append_ledger(spark, f"{root}/{table.loader}/_loads", load_id, 0, loaded_at)
+    """Write one batch, the status of its partitions and its ledger row.
 
+    The ledger follows the data: a load that failed half way is not in it, and running it again gives
+    the same table."""
+    target = open_table(spark, table, prefix)
+    open_schema(spark, target.schema)
+    rows = with_load_id(batch, load_id)
+    seen = target.replace(rows) if table.replaces else target.merge(rows, newest_first)
+    append_ledger(spark, target.schema, load_id, 0, loaded_at, table.name, seen)
 
-def full_refresh(spark: SparkSession, root: str, loader: str, cursors: DataFrame | None = None) -> DataFrame | None:
-    """Drop all tables of a loader and its ledger; returns ``cursors`` without those of the loader."""
-    for table in loader_tables(loader).values():
-        open_table(spark, root, table).drop()
-    VersionedTable(spark, f"{root}/{loader}/_loads").drop()
-    return None if cursors is None else without_cursors(cursors, loader)
 
+def load_slices(
+    spark: SparkSession,
+    table: RawTable,
+    batch: DataFrame,
+    slices: Sequence[str],
+    load_id: str,
+    loaded_at: dt.datetime,
+    newest_first: Sequence[Column] | None = None,
+    prefix: str = "",
+) -> None:
+    """Load the slices of a batch that parsed; keep the others as failures to be tried again.
 
-def without_cursors(cursors: DataFrame, loader: str) -> DataFrame:
-    return cursors.where(F.col("loader") != loader)
+    ``batch`` has the error column of ``with_errors``. A slice that is in the batch and did not fail leaves the
+    failures of the table, also when an earlier load had put it there.
+    """
+    target = open_table(spark, table, prefix)
+    open_schema(spark, target.schema)
+    parsed = staged(batch, "parsed")
+    good, failed = split_slices(parsed, slices)
+    load_table_batch(spark, table, good, load_id, loaded_at, newest_first, prefix)
+    keyed = slice_text(slices).alias("slice")
+    fresh = failed.select(keyed, "error", "bad_rows", F.lit(load_id).alias("load_id"))
+    old = control(spark, target.schema, FAILURES).where(F.col("table_name") == table.name).drop("table_name")
+    kept = old.join(parsed.select(keyed).distinct(), "slice", "left_anti")
+    set_control(kept.unionByName(fresh), target.schema, FAILURES, "table_name", table.name)
+
+
+def full_refresh(spark: SparkSession, loader: str, prefix: str = "") -> None:
+    """Drop all a loader has in one call: tables, ledger, status, failures and cursors."""
+    drop_schema(spark, f"{prefix}{loader}")
 
 
 def season_batch(df: DataFrame, season: str, labels: dict[str, object]) -> DataFrame:

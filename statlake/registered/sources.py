@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from statlake.operators.ranking import running_index
-from statlake.plans import loads
 from statlake.registered.base import Registry, Tables, with_inputs
 from statlake.session import work_dir
 from statlake.sources import csv_files, pages, payloads
-from statlake.sources.sinks import VersionedTable, write_sorted_csv
-from statlake.streaming.incremental import landed_files, merge_stream
+from statlake.sources.sinks import write_sorted_csv
 
 REGISTRY = Registry()
 
@@ -275,56 +271,7 @@ def _(t: Tables):
     return rows.withColumnRenamed("page_type", "draft_type")
 
 
-# ---- sinks and streams -----------------------------------------------------------------
-
-@REGISTRY.add("replace_then_read", "SELECT c_custkey, c_name FROM customer")
-def _(t: Tables):
-    table = VersionedTable(t.spark, work_dir(t.spark, "replaced"), ["c_custkey"])
-    table.replace(t.supplier.selectExpr("s_suppkey AS c_custkey", "s_name AS c_name"))
-    table.replace(t.customer.select("c_custkey", "c_name"))
-    return table.read()
-
-
-_SEASON_MERGE_SQL = with_inputs("""
-    WITH stored AS (SELECT playerid, season, max(war) AS war FROM raw_fg_batting GROUP BY ALL),
-    fresh AS (SELECT playerid, season, max(war) AS war FROM raw_fg_pitching GROUP BY ALL)
-    SELECT * FROM stored s WHERE NOT EXISTS (
-      SELECT 1 FROM fresh f WHERE f.playerid = s.playerid AND f.season = s.season)
-    UNION ALL SELECT * FROM fresh
-""")
-
-
-@REGISTRY.add("merge_partitioned", _SEASON_MERGE_SQL)
-def _(t: Tables):
-    table = VersionedTable(t.spark, work_dir(t.spark, "merged"), ["playerid", "season"], "season")
-    newest = [F.col("war").desc()]
-    table.merge(t.raw_fg_batting.select("playerid", "season", "war"), newest)
-    batch = t.raw_fg_pitching.select("playerid", "season", "war")
-    table.merge(batch, newest)
-    # A repeated batch changes nothing.
-    table.merge(batch, newest)
-    return table.read()
-
-
-@REGISTRY.add(
-    "stream_merge",
-    """
-    SELECT user_id, event_type, event_id, value FROM events
-    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
-    """,
-)
-def _(t: Tables):
-    landing, checkpoint = work_dir(t.spark, "landing"), work_dir(t.spark, "stream")
-    # Landed by time, so that a later file is a newer file.
-    t.events.repartitionByRange(4, "ts").write.parquet(landing)
-    buckets = F.pmod(F.xxhash64("user_id", "event_type"), F.lit(16))
-    table = VersionedTable(t.spark, work_dir(t.spark, "events"), ["user_id", "event_type"], buckets)
-    stream = landed_files(t.spark, landing, "parquet", t.events.schema)
-    merge_stream(stream, table, checkpoint, [F.col("ts").desc(), F.col("event_id").desc()])
-    # A second run finds nothing new.
-    merge_stream(stream, table, checkpoint, [F.col("ts").desc(), F.col("event_id").desc()])
-    return table.read().select("user_id", "event_type", "event_id", "value")
-
+# ---- row positions ---------------------------------------------------------------------
 
 @REGISTRY.add(
     "event_index_in_game",
@@ -336,28 +283,3 @@ def _(t: Tables):
 def _(t: Tables):
     turns = t.conversations.select("conv_id", "turn")
     return running_index(turns, "conv_id", [F.col("turn")], [F.floor(F.col("turn") / 1000)], "event_id")
-
-
-_PITCH_LOAD_SQL = """
-    SELECT CAST(l_orderkey AS BIGINT) AS game_pk, CAST(l_linenumber AS INTEGER) AS at_bat_number,
-      CAST(l_partkey % 10 AS INTEGER) AS pitch_number, CAST(l_quantity AS BIGINT) AS speed,
-      CASE WHEN l_shipdate < DATE '1998-01-01' THEN 'a' ELSE 'b' END AS _load_id
-    FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey % 10
-      ORDER BY l_shipdate < DATE '1998-01-01', l_quantity DESC, l_suppkey) = 1
-"""
-
-
-@REGISTRY.add("pitches_load", _PITCH_LOAD_SQL)
-def _(t: Tables):
-    """All line items in two loads by date; the second wins where keys meet, and is then repeated."""
-    root, table = work_dir(t.spark, "raw"), loads.raw_table("statcast_pitches", "pitches")
-    batch = t.lineitem.selectExpr(
-        "l_orderkey AS game_pk", "cast(l_linenumber AS int) AS at_bat_number", "cast(l_partkey % 10 AS int) AS pitch_number",
-        "cast(l_quantity AS bigint) AS speed", "l_suppkey", "l_shipdate",
-    )
-    newest = [F.col("speed").desc(), F.col("l_suppkey")]
-    early, late = batch.where("l_shipdate < date '1998-01-01'"), batch.where("l_shipdate >= date '1998-01-01'")
-    for load_id, rows in (("a", early), ("b", late), ("b", late)):
-        loads.load_table_batch(t.spark, root, table, rows, load_id, dt.datetime(2024, 5, 1), newest)
-    columns = ["game_pk", "at_bat_number", "pitch_number", "speed", "_load_id"]
-    return loads.open_table(t.spark, root, table).read().select(*columns)

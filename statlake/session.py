@@ -55,3 +55,10 @@ def work_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="statlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: later uses do not compute it again."""
+    path = os.path.join(work_dir(df.sparkSession, label), "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

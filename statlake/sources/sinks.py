@@ -1,180 +1,69 @@
-"""Table sinks. A write never touches files that a reader may be using: it adds a version."""
+"""Sinks beside the loaded tables: models as tables or views, sorted CSV, several tables in one write."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
-from urllib.parse import unquote
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from statlake.operators.merge import merge_by_key, require_key
+from statlake.sources.tables import LOAD_ID
 
-_FOLDER = "__partition"
-_SCHEMA = "_schema.json"
+
+def with_load_id(df: DataFrame, load_id: str) -> DataFrame:
+    return df.withColumn(LOAD_ID, F.lit(load_id))
 
 
-class VersionedTable:
-    """A Parquet table kept as write-once versions below one folder.
+def materialise(df: DataFrame, name: str, as_table: bool, bucket_by: Sequence[str] = (), buckets: int = 0) -> None:
+    """A model as a stored table or as a view.
 
-    A version counts only once Spark's committer has left ``_SUCCESS`` in it, so a failed or
-    repeated write changes nothing for readers. A ``full`` version is the whole table. With
-    ``partition_by`` a merge writes a ``part`` version that holds only the partitions of the
-    batch, and each partition is read from the newest version that has it: the cost of a
-    merge follows the batch, not the table. ``partition_by`` names a key column or is an
-    expression over key columns only, such as the year of a key date; the driver keeps one
-    name for each partition. Versions add up until ``compact`` and ``vacuum`` are called.
+    A table can be laid out by the columns that it is joined on: equal keys of two tables with the same number
+    of buckets lie in files of the same number, sorted, and are joined without a shuffle of either.
     """
+    if not as_table:
+        df.createOrReplaceTempView(name)
+        return
+    writer = df.write.mode("overwrite")
+    if bucket_by:
+        # Dealt as the buckets are: one file a bucket, whatever the number of tasks before.
+        dealt = df.repartition(buckets, *bucket_by)
+        writer = dealt.write.mode("overwrite").bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(name)
 
-    def __init__(self, spark: SparkSession, root: str, key: Sequence[str] = (), partition_by: str | Column | None = None):
-        if isinstance(partition_by, str) and key and partition_by not in key:
-            raise ValueError("the partition column must be part of the key")
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.key = list(key)
-        self.partition_by = F.col(partition_by) if isinstance(partition_by, str) else partition_by
-
-    def _folder(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
-
-    def _children(self, path: str) -> list[str]:
-        fs, folder = self._folder(path)
-        if not fs.exists(folder):
-            return []
-        return [status.getPath().getName() for status in fs.listStatus(folder)]
-
-    def _versions(self) -> list[tuple[int, str]]:
-        """(number, kind) of all versions begun, oldest first."""
-        names = [name[2:].split("-") for name in self._children(self.root) if name.startswith("v=")]
-        return sorted((int(number), kind) for number, kind in names)
-
-    def _live(self) -> list[str]:
-        """Folders of the newest complete full version and the complete parts after it."""
-        live: list[str] = []
-        for number, kind in reversed(self._versions()):
-            folder = f"{self.root}/v={number}-{kind}"
-            if "_SUCCESS" in self._children(folder):
-                live.append(folder)
-                if kind == "full":
-                    break
-        return live[::-1]
-
-    def _partition_paths(self) -> dict[str, str]:
-        paths: dict[str, str] = {}
-        for folder in self._live():
-            for name in self._children(folder):
-                if name.startswith(f"{_FOLDER}="):
-                    paths[unquote(name.split("=", 1)[1])] = f"{folder}/{name}"
-        return paths
-
-    def _schema(self) -> StructType | None:
-        """The table's schema, kept beside its newest version."""
-        for folder in reversed(self._live()):
-            if _SCHEMA in self._children(folder):
-                fs, path = self._folder(f"{folder}/{_SCHEMA}")
-                stream = fs.open(path)
-                text = bytes(stream.readAllBytes()).decode()
-                stream.close()
-                return StructType.fromJson(json.loads(text))
-        return None
-
-    def read(self, partitions: Sequence[str] | None = None) -> DataFrame | None:
-        """The current table, or None before the first write."""
-        if self.partition_by is not None:
-            paths = self._partition_paths()
-            chosen = [path for value, path in sorted(paths.items()) if partitions is None or value in partitions]
-        else:
-            chosen = self._live()
-        if not chosen:
-            return None
-        schema = self._schema()
-        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
-        return reader.parquet(*chosen)
-
-    def replace(self, df: DataFrame) -> None:
-        """The table becomes ``df``."""
-        self._write(require_key(df, self.key), "full")
-
-    def _claim(self, kind: str) -> str:
-        """The folder of a new version; a number that another writer took is not used again."""
-        number = max((number for number, _ in self._versions()), default=0)
-        claimed = False
-        while not claimed:
-            number += 1
-            fs, claim = self._folder(f"{self.root}/claim={number}")
-            claimed = fs.createNewFile(claim)
-        return f"{self.root}/v={number}-{kind}"
-
-    def _write(self, df: DataFrame, kind: str) -> None:
-        known = self._schema()
-        schema = df.schema
-        if known and kind == "part":
-            schema = StructType([*known.fields, *[f for f in df.schema if f.name not in known.names]])
-        target = self._claim(kind)
-        if self.partition_by is not None:
-            # Rebalanced by partition: few files each, and a large partition is split over tasks.
-            keyed = df.withColumn(_FOLDER, self.partition_by.cast("string")).hint("rebalance", _FOLDER)
-            keyed.write.partitionBy(_FOLDER).parquet(target)
-        else:
-            df.write.parquet(target)
-        fs, path = self._folder(f"{target}/{_SCHEMA}")
-        stream = fs.create(path, True)
-        stream.write(bytearray(schema.json().encode()))
-        stream.close()
-
-    def merge(self, batch: DataFrame, newest_first: Sequence[Column] | None = None) -> None:
-        """Upsert by key. Repeating a batch leaves the table as it is."""
-        if self.partition_by is None:
-            self._write(merge_by_key(self.read(), batch, self.key, newest_first), "full")
-            return
-        # One name for each partition of the batch, as the folders of the table have.
-        touched = {row["value"] for row in batch.select(self.partition_by.cast("string").alias("value")).distinct().collect()}
-        self._write(merge_by_key(self.read(touched), batch, self.key, newest_first), "part")
-
-    def compact(self) -> None:
-        """The table as one full version."""
-        current = self.read()
-        if current is not None:
-            self._write(current, "full")
-
-    def vacuum(self) -> None:
-        """Delete the versions before the newest full one. No reader may still use them."""
-        live = self._live()
-        if not live:
-            return
-        first = int(live[0].rpartition("/v=")[2].split("-")[0])
-        for number, kind in self._versions():
-            if number < first:
-                fs, folder = self._folder(f"{self.root}/v={number}-{kind}")
-                fs.delete(folder, True)
-
-    def drop(self) -> None:
-        """Remove the table with all versions."""
-        fs, folder = self._folder(self.root)
-        fs.delete(folder, True)
 
+def write_sorted_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Lookup as CSV with a header, globally sorted; part files follow the sort order."""
+    df.orderBy(*order).write.mode("overwrite").option("header", True).csv(path)
 
-def with_load_id(df: DataFrame, load_id: str) -> DataFrame:
-    return df.withColumn("_load_id", F.lit(load_id))
 
+#: Column of a joint write that names the table of a row.
+TAG = "_table"
 
-def append_ledger(spark: SparkSession, path: str, load_id: str, status: int, inserted_at) -> None:
-    """One ledger row per load; status 0 is success."""
-    row = [(load_id, status, inserted_at)]
-    spark.createDataFrame(row, "load_id string, status bigint, inserted_at timestamp").write.mode("append").parquet(path)
 
+def tagged(rows: Mapping[str, Column]) -> Column:
+    """Rows of several shapes from one input row: an array of (tag, one struct column a table).
 
-def materialise(df: DataFrame, name: str, as_table: bool) -> None:
-    """A model as a stored table or as a view."""
-    if as_table:
-        df.write.mode("overwrite").saveAsTable(name)
-    else:
-        df.createOrReplaceTempView(name)
+    ``rows`` has an array of structs for each table. All but the tag's own column of an element are null.
+    """
+    kinds = list(rows)
 
+    def shaped(name: str) -> Column:
+        def shape(row: Column) -> Column:
+            none = {other: F.when(F.lit(False), F.element_at(rows[other], 1)) for other in kinds}
+            return F.struct(F.lit(name).alias(TAG), *[(row if other == name else none[other]).alias(other) for other in kinds])
 
-def write_sorted_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """Lookup as CSV with a header, globally sorted; part files follow the sort order."""
-    df.orderBy(*order).write.mode("overwrite").option("header", True).csv(path)
+        return F.transform(rows[name], shape)
+
+    empty = F.filter(shaped(kinds[0]), lambda _: F.lit(False))
+    return F.concat(*[F.coalesce(shaped(name), empty) for name in kinds])
+
+
+def write_tagged(df: DataFrame, rows: Mapping[str, Column], path: str) -> None:
+    """All tables of ``rows`` in one pass over ``df``, one folder each."""
+    df.select(F.explode(tagged(rows)).alias("row")).select("row.*").write.partitionBy(TAG).parquet(path)
+
+
+def read_tagged(spark: SparkSession, path: str, schema, name: str) -> DataFrame:
+    """One table of a joint write; ``schema`` is that of ``tagged`` rows. Only its folder and column are read."""
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.where(F.col(TAG) == name).select(f"{name}.*")

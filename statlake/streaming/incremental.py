@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statlake.sources.sinks import VersionedTable
+from statlake.sources.tables import LoadedTable
 
 
 def landed_files(
@@ -23,7 +24,7 @@ def landed_files(
 
 def merge_stream(
     stream: DataFrame,
-    table: VersionedTable,
+    table: LoadedTable,
     checkpoint: str,
     newest_first: Sequence[Column] | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
@@ -32,17 +33,40 @@ def merge_stream(
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
-        # The batch is used for the anti join and for the union.
-        rows = rows.persist()
-        try:
-            table.merge(rows, newest_first)
-        finally:
-            rows.unpersist()
-
-    query = (
-        stream.writeStream.foreachBatch(merge_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        table.merge(rows, newest_first)
+
+    _run(stream.writeStream.foreachBatch(merge_batch), checkpoint)
+
+
+def _run(writer, checkpoint: str) -> None:
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def newest_of_stream(stream: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:
+    """Key and ``row``, the newest row of each key so far, as a stateful aggregation.
+
+    The newest row has the largest ``newest`` columns, in their order, whenever it arrives: a late file with
+    older rows changes nothing. The state lives in the JVM's state store, and the checkpoint is the cursor.
+    """
+    row = F.struct(*[F.col(c) for c in stream.columns])
+    return stream.groupBy(*key).agg(F.max_by(row, F.struct(*newest)).alias("row"))
+
+
+def follow_newest(stream: DataFrame, key: Sequence[str], newest: Sequence[str], path: str, checkpoint: str) -> None:
+    """Keep the newest row of every key of what has landed since the last run, then stop.
+
+    Each micro-batch writes the keys it changed to a folder of its own, which a repeated batch overwrites:
+    the stored rows are never read, let alone joined.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.select("row.*").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    _run(newest_of_stream(stream, key, newest).writeStream.outputMode("update").foreachBatch(write_batch), checkpoint)
+
+
+def read_newest(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]) -> DataFrame:
+    """The newest row of each key: of the rows that the batches wrote for it, that of the last batch."""
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    row = F.struct(*[F.col(c) for c in schema.names])
+    return rows.groupBy(*[F.col(c).alias(f"__{c}") for c in key]).agg(F.max_by(row, "batch").alias("row")).select("row.*")

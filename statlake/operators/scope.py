@@ -97,6 +97,20 @@ def scope_grid(spark, seasons: tuple[int, int], legs: DataFrame) -> DataFrame:
     return legs.withColumn("season", F.explode(F.sequence(F.lit(first), F.lit(last))))
 
 
+def write_by_season(df: DataFrame, path: str, season: str = "season") -> None:
+    """Rows laid out by season, so that a season scope opens no folder of another season."""
+    df.hint("rebalance", season).write.partitionBy(season).parquet(path)
+
+
+def rows_of_grid(facts: DataFrame, grid: DataFrame, season: str = "season") -> DataFrame:
+    """The rows of the grid's seasons, once for each leg of it.
+
+    A grid has a row for each season and leg, a few hundred at most, and is broadcast; facts laid out by
+    season are then pruned to its seasons when the query runs.
+    """
+    return facts.join(F.broadcast(grid), season)
+
+
 def month_chunks(start: Column, end: Column) -> Column:
     """Array of ``(chunk_start, chunk_end)``: calendar months clipped at both ends."""
     months = F.sequence(F.trunc(start, "month"), F.greatest(start, end), F.expr("interval 1 month"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from statlake.functions.naming import short_name
 from statlake.operators.joins import left_enrich
+from statlake.operators.ranking import first_per_key
 from statlake.sources.payloads import json_record, json_value
 
 # Part of a season -> label, abbreviation, request code.
@@ -183,6 +184,44 @@ def record_type(name: str, sample: object) -> str:
     return "int" if name in INTEGER_FIELDS else "double"
 
 
+def record_fields(raw: DataFrame, text: str = "record_content") -> DataFrame:
+    """``name, type, records`` of every field that occurs in any record, by one aggregation.
+
+    The types of all values of a field are merged; a field that is text in one record, or of several kinds,
+    is text. Null says nothing about a type. A text that is no JSON object has no fields.
+    """
+    parsed = raw.select(F.try_parse_json(F.col(text)).alias("record")).where("record IS NOT NULL")
+    seen = raw.sparkSession.sql(
+        "SELECT key AS name, schema_of_variant_agg(value) AS kind, count(*) AS records"
+        " FROM {parsed}, LATERAL variant_explode(record) WHERE schema_of_variant(record) LIKE 'OBJECT%' GROUP BY key",
+        parsed=parsed,
+    )
+    kind, number = F.col("kind"), F.when(F.col("name").isin(*INTEGER_FIELDS), "int").otherwise("double")
+    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT", "VOID") | kind.startswith("DECIMAL")
+    return seen.select("name", F.when(kind == "BOOLEAN", "boolean").when(numeric, number).otherwise("string").alias("type"), "records")
+
+
+def record_schema_of(raw: DataFrame, text: str = "record_content") -> dict[str, str]:
+    """The record schema for ``batting_records`` from all records: one row a field reaches the driver."""
+    return {row["name"]: row["type"] for row in record_fields(raw, text).orderBy("name").collect()}
+
+
+def mapped_fields(fields: DataFrame, entries: DataFrame) -> DataFrame:
+    """``raw_name, column_name, type, group`` of record fields by a dictionary kept as a table.
+
+    ``entries``: ``position, group, raw_name, column_name, type``; of several entries of a raw name the one of
+    least position counts. A field without an entry is in the group ``unmapped``, without column name.
+    """
+    first = first_per_key(entries, ["raw_name"], [F.col("position"), F.col("group"), F.col("column_name")])
+    found = left_enrich(fields.select("raw_name"), first, {"raw_name": "raw_name"}, ["column_name", "type", "group"])
+    return found.withColumn("group", F.coalesce("group", F.lit("unmapped")))
+
+
+def group_field_counts(mapped: DataFrame) -> DataFrame:
+    """Number of fields in each group of a schema."""
+    return mapped.groupBy("group").agg(F.count(F.lit(1)).alias("fields"))
+
+
 def record_schema(sample: Mapping[str, object]) -> dict[str, str]:
     return {name: record_type(name, value) for name, value in sample.items()}
 

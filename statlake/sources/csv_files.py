@@ -1,12 +1,14 @@
 """CSV sources. Every column is read as text: typing is the models' job, and inference
-would cost one more pass over the files."""
+would cost one more pass over the files. A file of a known name may also be a folder of that name
+with parts, as a job lands it."""
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,7 +75,8 @@ def read_lahman(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def inventory_gaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(expected files that are absent, CSV files that no table maps to)."""
-    found = list_files(spark, folder, "*.[cC][sS][vV]").select("name")
+    listed = spark.read.format("binaryFile").load(f"{folder}/*.[cC][sS][vV]").select("path")
+    found = listed.select(F.regexp_extract("path", r"([^/]+\.[cC][sS][vV])(/[^/]*)?$", 1).alias("name")).distinct()
     expected = spark.createDataFrame([(name,) for name in layouts.LAHMAN_FILES.values()], "name string")
     return names_missing(expected, found, "name"), names_missing(found, expected, "name")
 
@@ -98,12 +101,19 @@ def _season_from_path(pattern: str):
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 
-def _without_files(spark: SparkSession, folder: str, pattern: str, columns: Sequence[str]) -> DataFrame | None:
-    """An empty text table and a warning if no season has a file, else None."""
-    if not list_files(spark, folder, pattern, recursive=True).isEmpty():
-        return None
-    warnings.warn(f"no season below {folder} has a file {pattern}", stacklevel=3)
-    return spark.createDataFrame([], text_schema([*columns, "season"]))
+def _or_empty(read: Callable[[], DataFrame], pattern: str, columns: Sequence[str]) -> DataFrame:
+    """What ``read`` gives; an empty text table and a warning if no season has a file."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    warnings.warn(f"no season has a file {pattern}", stacklevel=3)
+    return _no_rows(columns)
+
+
+def _no_rows(columns: Sequence[str]) -> DataFrame:
+    return SparkSession.active().createDataFrame([], text_schema([*columns, "season"]))
 
 
 def read_rosters(spark: SparkSession, root: str) -> DataFrame:
@@ -111,26 +121,25 @@ def read_rosters(spark: SparkSession, root: str) -> DataFrame:
 
     Seasons without files have no rows; without any there is a warning and an empty table.
     """
-    absent = _without_files(spark, f"{root}/seasons", "*.ROS", layouts.ROSTER_COLUMNS)
-    if absent is not None:
-        return absent
-    df = (
-        spark.read.schema(text_schema(layouts.ROSTER_COLUMNS))
-        .option("pathGlobFilter", "*.ROS")
-        .csv(f"{root}/seasons/*")
-    )
-    return df.withColumn("season", _season_from_path(r"/seasons/([^/]+)/"))
+    pattern = f"{root}/seasons/*/*.ROS"
+
+    def read() -> DataFrame:
+        df = spark.read.schema(text_schema(layouts.ROSTER_COLUMNS)).csv(pattern)
+        return df.withColumn("season", _season_from_path(r"/seasons/([^/]+)/"))
+
+    return _or_empty(read, pattern, layouts.ROSTER_COLUMNS)
 
 
 def read_umpires(spark: SparkSession, root: str) -> DataFrame:
     """``seasons/<season>/UMPIRES<season>.txt`` with a header; absent files as for rosters."""
-    absent = _without_files(spark, f"{root}/seasons", "UMPIRES*.txt", list(layouts.UMPIRE_RENAMES.values()))
-    if absent is not None:
-        return absent
-    df = spark.read.option("header", True).csv(f"{root}/seasons/*/UMPIRES*.txt")
-    return df.withColumn("season", _season_from_path(r"/seasons/([^/]+)/")).withColumnsRenamed(
-        layouts.UMPIRE_RENAMES
-    )
+    pattern = f"{root}/seasons/*/UMPIRES*.txt"
+
+    def read() -> DataFrame:
+        df = spark.read.option("header", True).csv(pattern)
+        labelled = df.withColumn("season", _season_from_path(r"/seasons/([^/]+)/"))
+        return labelled.withColumnsRenamed(layouts.UMPIRE_RENAMES)
+
+    return _or_empty(read, pattern, list(layouts.UMPIRE_RENAMES.values()))
 
 
 def read_game_logs(spark: SparkSession, root: str, playoffs: str = "include") -> DataFrame:
@@ -145,8 +154,8 @@ def read_game_logs(spark: SparkSession, root: str, playoffs: str = "include") ->
     places = "gamelog" if playoffs == "only" else "{seasons/*,gamelog}"
     df = spark.read.schema(text_schema(columns)).csv(f"{root}/{places}/[gG][lL]*.[tT][xX][tT]")
     path = F.col("_metadata.file_path")
-    stem = F.upper(F.regexp_extract(path, r"(?i)/gamelog/GL([^/.]+)\.TXT$", 1))
-    labelled = df.withColumn("__stem", stem).withColumn("__regular", path.rlike("/seasons/[^/]+/[^/]+$"))
+    stem = F.upper(F.regexp_extract(path, r"(?i)/gamelog/GL([^/.]+)\.TXT(/[^/]+)?$", 1))
+    labelled = df.withColumn("__stem", stem).withColumn("__regular", path.rlike("/seasons/[^/]+/[^/]+(/[^/]+)?$"))
     game_type = F.when(F.col("__regular"), "regular_season")
     for suffix, label in layouts.PLAYOFF_SUFFIXES.items():
         game_type = game_type.when(F.col("__stem") == suffix, label)
@@ -166,10 +175,8 @@ def read_season_schedules(spark: SparkSession, root: str) -> DataFrame:
         spark.read.schema(schema)
         .option("columnNameOfCorruptRecord", "__short_row")
         .option("columnPruning", "false")
-        .option("pathGlobFilter", "[0-9]*[sS][cC][hH][eE][dD][uU][lL][eE].[cC][sS][vV]")
-        .option("recursiveFileLookup", "true")
-        .csv(root)
-        .withColumn("__file", F.col("_metadata.file_path"))
+        .csv(f"{root}/seasons/*/[0-9]*[sS][cC][hH][eE][dD][uU][lL][eE].[cC][sS][vV]")
+        .withColumn("__file", F.regexp_extract(F.col("_metadata.file_path"), r"(?i)^(.*schedule\.csv)", 1))
     )
     # Spark does not answer from the complaint column alone; a row that counts has a date.
     full = F.col("__short_row").isNull() & F.col(columns[0]).isNotNull()
@@ -195,10 +202,7 @@ def read_decoded_events(spark: SparkSession, path, event_class: str | None = Non
     """
     from statlake.operators.ranking import running_index
 
-    reader = spark.read.option("header", True)
-    if event_class:
-        reader = reader.option("pathGlobFilter", layouts.EVENT_FILE_GLOBS[event_class])
-    df = reader.csv(path)
+    df = spark.read.option("header", True).csv(f"{path}/{layouts.EVENT_FILE_GLOBS[event_class]}" if event_class else path)
     columns = df.columns
     placed = df.select(
         *columns,

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statlake.sources.sinks import tagged, write_tagged
+
 _LINE = "struct<runs:int,hits:int,errors:int,leftOnBase:int>"
 _PERSON = "struct<id:bigint,fullName:string>"
 _SIDE = (
@@ -204,6 +207,32 @@ def schedule_tables(games: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _pick_of(row: Column, paths: str) -> list[Column]:
+    """The fields of a struct that is no column of a frame, as inside an array."""
+    pairs = [line.split() for line in paths.strip().splitlines()]
+    return [reduce(lambda value, step: value[step], path.split("."), row).alias(name) for name, path in pairs]
+
+
+def schedule_shapes() -> dict[str, Column]:
+    """The rows of the three tables that one ``game`` gives, as arrays."""
+    key = F.col("game.gamePk").alias("game_pk")
+    return {
+        "schedules": F.array(F.struct(*_pick("game", GAME_PATHS))),
+        "schedules_linescore_innings": F.transform("game.linescore.innings", lambda i: F.struct(key, *_pick_of(i, INNING_PATHS))),
+        "schedules_officials": F.transform("game.officials", lambda o: F.struct(key, *_pick_of(o, OFFICIAL_PATHS))),
+    }
+
+
+def write_schedule_tables(games: DataFrame, path: str) -> T.StructType:
+    """The three tables of a schedule load in one pass: each payload is read and parsed once.
+
+    Returns the schema with which ``read_tagged`` reads one of them.
+    """
+    shapes = schedule_shapes()
+    write_tagged(games, shapes, path)
+    return games.select(F.explode(tagged(shapes)).alias("row")).select("row.*").schema
+
+
 def leaderboard_rows(payloads: DataFrame, text: str, row_type: T.DataType | str) -> DataFrame:
     """Rows of ``{"data": [row, ...]}`` texts; a payload without ``data`` has no rows.
 

@@ -225,7 +225,6 @@ def _(t: Tables):
 
 
 # A sample record: its keys give the fields, its values the types.
-_SAMPLE = {"playerid": 1, "Season": 2020, "1B": 1, "BB%": 0.1, "Name": "n", "teamid": 1, "wRC+": 100.0}
 _DICTIONARY = leaderboards.Dictionary.from_rows(
     [
         {"group": "context", "raw_name": "playerid", "column_name": "fangraphs_id", "type": "int64"},
@@ -262,7 +261,7 @@ _DICTIONARY = leaderboards.Dictionary.from_rows(
 )
 def _(t: Tables):
     ids = team_ids.fangraphs_team_ids(t.raw_team_ids)
-    typed = leaderboards.record_schema(_SAMPLE)
+    typed = leaderboards.record_schema_of(t.raw_fg_json)
     return leaderboards.batting_records(t.raw_fg_json, typed, _DICTIONARY, t.crosswalk, ids)
 
 

@@ -15,16 +15,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import WordCache, blob, id_column, map_rows, summed, written
+from statlake.llm.common import blob, id_column, map_rows, release, summed, written
 
 #: Latent dimensions, extra sketch columns; words of a block and of a document passage.
 RANK, EXTRA, BLOCK, PASSAGE = 64, 8, 8, 32
-#: Hash slots; rows that slots the benchmark does not use share; items handled at a time.
-SLOTS, SHARED, SLICE_ITEMS = 1 << 20, 4096, 512
+#: Hash slots; rows that slots the benchmark does not use share; items that one search pass carries, passages that
+#: windows are compared with at once. The space and the answer are the same whatever these two are.
+SLOTS, SHARED, SEARCH_ITEMS, PRODUCTS = 1 << 20, 4096, 8192, 512
 #: Share of the sketch's energy that the benchmark's passages have.
 BENCHMARK_ENERGY = 0.8
 #: Gate of a window: its cosine with a passage, and the share of the passage's latent length it must hold. At the
@@ -37,27 +39,103 @@ _EDGE = b".,;:!?\"'()[]"
 _SENTENCE = re.compile(rb"[.!?\n]+")
 
 
-def _term(word: bytes) -> int:
-    return xxhash.xxh32_intdigest(word.strip(_EDGE) or word)
+_IS_SPACE, _IS_EDGE = np.zeros(256, bool), np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_IS_EDGE[list(_EDGE)] = True
+#: An odd base and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_UNBASE = pow(_BASE, -1, 1 << 64)
 
 
-def terms(text: bytes | None, cache: WordCache) -> np.ndarray:
-    """Term hashes of a lower-case text."""
-    words = (text or b"").split()
-    return np.fromiter(map(cache.__getitem__, words), np.uint32, len(words))
+def _powers(base: int, n: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64))])
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, terms): 32-bit hashes of the lower-case words, marks at their ends dropped."""
+class Hasher:
+    """Term hashes of many lower-case texts at once.
 
-    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        cache = WordCache(_term)
-        for doc_id, version, text in rows:
-            yield doc_id, version, terms(text, cache).tobytes()
+    The bytes of a block are summed up with powers of a base, modulo 2**64; the difference at a word's ends,
+    divided by the power of its start, depends on the word alone.
+    """
+
+    def __init__(self) -> None:
+        self.up, self.down = _powers(_BASE, 0), _powers(_UNBASE, 0)
+
+    def words(self, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, words before each border) of the texts between ``borders`` of ``data``.
+
+        Words end at white space and borders; marks at their ends are dropped if anything else is left.
+        """
+        n = len(data)
+        if n >= len(self.up):
+            self.up, self.down = _powers(_BASE, n), _powers(_UNBASE, n)
+        full = ~_IS_SPACE[data]
+        cut = np.zeros(n + 1, bool)
+        cut[borders] = True
+        before, after = np.r_[False, full[:-1]], np.r_[full[1:], False]
+        starts = np.flatnonzero(full & (~before | cut[:-1]))
+        ends = np.flatnonzero(full & (~after | cut[1:])) + 1
+        # The next byte from the start, and the last one before the end, that is no mark.
+        plain = ~_IS_EDGE[data]
+        at = np.arange(n)
+        ahead = np.minimum.accumulate(np.where(plain, at, n)[::-1])[::-1]
+        behind = np.maximum.accumulate(np.where(plain, at, -1))
+        first, last = ahead[starts] if n else starts, behind[ends - 1] + 1 if n else ends
+        kept = first < ends
+        first, last = np.where(kept, first, starts), np.where(kept, last, ends)
+        with np.errstate(over="ignore"):
+            total = np.r_[np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:n])]
+            h = (total[last] - total[first]) * self.down[first]
+            h ^= h >> np.uint64(31)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+        return (h >> np.uint64(32)).astype(np.uint32), np.searchsorted(starts, borders)
+
+
+def terms(texts: list[bytes]) -> list[np.ndarray]:
+    """Term hashes of lower-case texts."""
+    borders = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
+    held, at = Hasher().words(np.frombuffer(b"".join(texts), np.uint8), borders)
+    return [held[a:b] for a, b in zip(at, at[1:])]
+
+
+def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``most`` bytes; a longer row is a run of its own."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def tokens(docs: DataFrame, block: int = 1 << 20) -> DataFrame:
+    """(doc_id, version, terms): 32-bit hashes of the lower-case words, marks at their ends dropped.
+
+    Blocks of about a megabyte of text are hashed as arrays, from Arrow buffer to Arrow buffer.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        try:
+            for batch in batches:
+                texts = pc.fill_null(batch.column(2), b"")
+                sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+                for a, b in _blocks(sizes, block):
+                    part = pa.array(texts.slice(a, b - a), pa.binary())
+                    borders = np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + b - a + 1].astype(np.int64)
+                    data = np.frombuffer(part.buffers()[2] or b"", np.uint8)[borders[0] : borders[-1]]
+                    held, at = hasher.words(data, borders - borders[0])
+                    values = pa.BinaryArray.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((4 * at).astype(np.int32)), pa.py_buffer(held)])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), values], ["doc_id", "version", "terms"])
+        finally:
+            release()
 
     low = F.lower(F.col("text").cast("string")).cast("binary").alias("text")
     columns = docs.select(id_column(docs), F.xxhash64(blob()).alias("version"), low)
-    return map_rows(columns, run, "doc_id bigint, version bigint, terms binary", 1024)
+    return columns.mapInArrow(run, "doc_id bigint, version bigint, terms binary")
 
 
 @dataclass
@@ -71,13 +149,12 @@ class Item:
 
 def items(rows) -> list[Item]:
     """From (item_id, lower-case text) rows; items without words are left out."""
-    cache, found = WordCache(_term), []
+    found = []
     for item_id, text in rows:
         raw = (text or "").encode()
-        held = terms(raw, cache)
+        held, *sentences = terms([raw, *[s for s in _SENTENCE.split(raw) if s.strip()]])
         if not len(held):
             continue
-        sentences = [terms(s, cache) for s in _SENTENCE.split(raw) if s.strip()]
         answer = sentences[-1] if len(sentences) > 1 else held[-max(1, len(held) // 3) :]
         n = -(-len(held) // (BLOCK * 8))
         size = -(-len(held) // n)
@@ -251,8 +328,12 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
     blocks = -(-(lengths + BLOCK // 2 - 1) // BLOCK)
     groups = []
     for size in np.unique(blocks):
-        own = np.flatnonzero((blocks == size) & (norms > 1e-6))
-        if len(own):
+        of_size = np.flatnonzero((blocks == size) & (norms > 1e-6))
+        # Passages of like length together: the shortest of them bounds the windows that are compared.
+        of_size = of_size[np.argsort(norms[of_size], kind="stable")]
+        for own in np.array_split(of_size, -(-len(of_size) // PRODUCTS) or 1):
+            if not len(own):
+                continue
             groups.append((int(size), own, (vectors[own] / norms[own, None]).T.copy(), norms[own]))
     checker = Checker(benchmark)
 
@@ -302,36 +383,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc_id, version (hash of the text), item_id, cosine, first_word, n_words (of the place compared),
     common (share of the item's words found in order), answered. Null and empty texts and items find
     nothing; rows without doc_id are searched and reported with a null id; repeated documents and items
-    are reported each; an empty table on either side gives an empty result.
+    are reported each; an empty table on either side gives an empty result. The benchmark is a set of queries
+    that the driver holds, four bytes a word.
     """
     spark = docs.sparkSession
     schema = "doc_id bigint, version bigint, item_id bigint, cosine double, first_word int, n_words int, common double, answered boolean"
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
-    slices = -(-rows.count() // SLICE_ITEMS)
-    results = []
-    table = written(tokens(docs), "terms") if slices else None
-    for part in range(slices):
-        chosen = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == part)
-        held = items(sorted(chosen.collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
-        if not held:
-            continue
-        space = Space(held)
-        counts, passages = document_frequency(table, space)
-        weight = np.log1p(max(1.0, counts.max()) / (counts + 1.0))
-        directions = latent_space(table, held, space, weight, passages)
-        found = _search(table, held, space, weight, directions)
-        ids = [item.item_id for item in held]
+    held = items(sorted(rows.collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
+    if not held:
+        return spark.createDataFrame([], schema)
+    table = written(tokens(docs), "terms")
+    space = Space(held)
+    counts, passages = document_frequency(table, space)
+    weight = np.log1p(max(1.0, counts.max()) / (counts + 1.0))
+    directions = latent_space(table, held, space, weight, passages)
+    out = None
+    for at in range(0, len(held), SEARCH_ITEMS):
+        some = held[at : at + SEARCH_ITEMS]
+        ids = [item.item_id for item in some]
 
         def named(rows: Iterator[tuple], ids=ids) -> Iterator[tuple]:
             for doc_id, version, item, *rest in rows:
                 yield doc_id, version, ids[item], *rest
 
-        results.append(map_rows(found, named, schema))
-    if not results:
-        return spark.createDataFrame([], schema)
-    out = results[0]
-    for more in results[1:]:
-        out = out.unionByName(more)
+        found = map_rows(_search(table, some, space, weight, directions), named, schema)
+        out = found if out is None else out.unionByName(found)
     return out
 
 

@@ -224,7 +224,7 @@ def test_decontamination_finds_planted_items(spark, documents):
 
 
 def test_decontamination_finds_paraphrases_at_every_offset(spark, documents):
-    """Half of the words with the answer, and 0.7 without it, at all 16 places of a block pair; two slices of items."""
+    """Half of the words with the answer, and 0.7 without it, at all 16 places of a block pair."""
     rng = random.Random(77)
     items = [(i, sentence(rng, 11 + 4 * (i % 12)) + ". " + sentence(rng, 5 + i % 4) + ".") for i in range(560)]
     rows, expected = [], set()
@@ -248,6 +248,57 @@ def test_decontamination_finds_paraphrases_at_every_offset(spark, documents):
     assert not {d for d, _ in got if d >= 100_000}
 
 
+def _bare(word):
+    return word.strip(b".,;:!?\"'()[]") or word
+
+
+def test_term_hashes_follow_the_bare_words():
+    """Equal hashes for equal bare words only, whatever stands around them and whichever text they are in."""
+    rng = random.Random(3)
+    texts = [b"", b" \n\t ", b"(a) 'a' a. ... . \xc3\xa9t\xc3\xa9, ab ba", b"x" * 5000, b"!?", b"a\x00b a b"]
+    texts += [" ".join(rng.choice("(,'") * rng.randrange(2) + sentence(rng, 1) + rng.choice(".,)") * rng.randrange(3) for _ in range(200)).encode() for _ in range(20)]
+    seen, back = {}, {}
+    for text, held in zip(texts, decontam.terms(texts)):
+        words = [_bare(w) for w in text.split()]
+        assert len(held) == len(words)
+        assert held.tolist() == decontam.terms([b"pad " + text])[0].tolist()[1:]
+        for word, h in zip(words, held.tolist()):
+            assert seen.setdefault(word, h) == h and back.setdefault(h, word) == word
+
+
+def test_tokens_of_odd_rows(spark, odd_documents):
+    """Blocks far smaller than the long texts; each row has the terms of its own text."""
+    rows = {(r["doc_id"], r["version"]): np.frombuffer(r["terms"], np.uint32).tolist() for r in decontam.tokens(odd_documents, 64).collect()}
+    texts = [(r["doc_id"], r["v"], (r["t"] or "").encode()) for r in odd_documents.selectExpr("doc_id", "xxhash64(cast(text as binary)) AS v", "lower(text) AS t").collect()]
+    for (doc_id, version, _), held in zip(texts, decontam.terms([t for *_, t in texts])):
+        assert rows[doc_id, version] == held.tolist()
+
+
+def test_found_documents_are_those_of_plain_comparison(spark, documents, monkeypatch):
+    """Longest common subsequences of all document and item pairs, over windows at every word."""
+    monkeypatch.setattr(decontam, "SEARCH_ITEMS", 7)
+    monkeypatch.setattr(decontam, "PRODUCTS", 3)
+    rng = random.Random(21)
+    items = [(i, sentence(rng, 16 + 2 * i) + ". " + sentence(rng, 6) + ".") for i in range(16)]
+    rows = []
+    for i in range(160):
+        words = items[i % 16][1].split()
+        kept = rng.sample(range(len(words)), int(len(words) * (0.2 + 0.8 * (i // 16) / 9)))
+        text = [w if j in kept else sentence(rng, 1) for j, w in enumerate(words)]
+        rows.append((i, f"{sentence(rng, i % 23)} {' '.join(text)} {sentence(rng, 30)}", "en"))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(documents(rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    found = decontam.items([(i, t.lower()) for i, t in items])
+    for doc_id, text, _ in rows:
+        held = decontam.terms([text.lower().encode()])[0]
+        for item in found:
+            share = max(decontam.common_length(item.terms, held[a : a + 2 * len(item.terms)]) for a in range(0, max(1, len(held) - len(item.terms)))) / len(item.terms)
+            answer = decontam.common_length(item.answer, held) >= 0.8 * len(item.answer)
+            if share >= 0.7 or share >= 0.5 and answer:
+                assert (doc_id, item.item_id) in got, (doc_id, item.item_id, share)
+            elif share < 0.5:
+                assert (doc_id, item.item_id) not in got
+
+
 def test_common_subsequence():
     a, b = np.array([1, 2, 3, 4, 2]), np.array([2, 9, 3, 2])
     assert decontam.common_length(a, b) == 3

@@ -27,6 +27,8 @@ RANK, EXTRA, BLOCK, PASSAGE = 64, 8, 8, 32
 #: Hash slots; rows that slots the benchmark does not use share; items that one search pass carries, passages that
 #: windows are compared with at once. The space and the answer are the same whatever these two are.
 SLOTS, SHARED, SEARCH_ITEMS, PRODUCTS = 1 << 20, 4096, 8192, 512
+#: Terms handled at once: their rows of the term space then stay in a core's cache.
+BATCH = 4_000
 #: Share of the sketch's energy that the benchmark's passages have.
 BENCHMARK_ENERGY = 0.8
 #: Gate of a window: its cosine with a passage, and the share of the passage's latent length it must hold. At the
@@ -111,10 +113,10 @@ def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def tokens(docs: DataFrame, block: int = 1 << 20) -> DataFrame:
+def tokens(docs: DataFrame, block: int = 1 << 16) -> DataFrame:
     """(doc_id, version, terms): 32-bit hashes of the lower-case words, marks at their ends dropped.
 
-    Blocks of about a megabyte of text are hashed as arrays, from Arrow buffer to Arrow buffer.
+    Blocks of text that fit into a core's cache are hashed as arrays, from Arrow buffer to Arrow buffer.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +181,7 @@ class Space:
         return self.row[_slots(values)]
 
 
-def _batched(rows: Iterator[tuple], most: int = 60_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def _batched(rows: Iterator[tuple], most: int = BATCH) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """(rows, all their terms, borders): documents in groups of about ``most`` terms."""
     held, size = [], 0
     for row in rows:
@@ -301,11 +303,13 @@ class Checker:
         slack = n // 4 + 2 * BLOCK
         first = max(0, start - item.parts[part][0] - slack)
         held = doc[first : start - item.parts[part][0] + n + slack]
-        bag, shared = self.bags[i], 0
-        for x, k in Counter(held.tolist()).items():
-            if x in bag:
-                shared += min(k, bag[x])
-        if shared < COMMON_WITH_ANSWER * n:  # no subsequence is longer than what the bags share
+        bag, words = self.bags[i], held.tolist()
+        both = bag.keys() & set(words)
+        # No subsequence is longer than what the bags share, and that is no more than the item has of these.
+        if sum(map(bag.__getitem__, both)) < COMMON_WITH_ANSWER * n:
+            return None
+        counts = Counter(words)
+        if sum(min(counts[x], bag[x]) for x in both) < COMMON_WITH_ANSWER * n:
             return None
         share = common_length(item.terms, held) / n
         if share < COMMON_WITH_ANSWER:
@@ -353,7 +357,9 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
             able = norm >= COEFFICIENT * lengths.min()
             here, z, norm = at[able], z[able], norm[able]
             dots = z @ queries
-            w, q = np.nonzero((dots >= COSINE * norm[:, None]) & (dots >= COEFFICIENT * lengths))
+            w, q = np.nonzero(dots >= COEFFICIENT * lengths)
+            close = dots[w, q] >= COSINE * norm[w]
+            w, q = w[close], q[close]
             yield from zip(own[q].tolist(), starts[here[w]].tolist(), owner[here[w]].tolist(), (dots[w, q] / norm[w]).tolist())
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:

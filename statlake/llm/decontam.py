@@ -233,14 +233,27 @@ def _sketch(rows: np.ndarray, starts: np.ndarray, weight: np.ndarray, test: np.n
     """Adds A'A * test of unit-length passages to ``out``, but for the terms' weights on both sides:
     ``test`` comes multiplied by them and ``out`` is multiplied at the end."""
     w = weight[rows]
-    n = np.diff(np.r_[starts, len(rows)])
+    ends = np.r_[starts[1:], len(rows)]
     length2 = np.maximum(np.add.reduceat(w * w, starts), 1e-9)
-    z = np.add.reduceat(test[rows], starts, axis=0) / length2[:, None]
-    passage = np.repeat(np.arange(len(starts)), n)
+    z = np.empty((len(starts), test.shape[1]), np.float32)
+    # Some passages, then some terms at a time, so that what is gathered stays in a core's cache.
+    step = max(1, BATCH // PASSAGE)
+    for at in range(0, len(starts), step):
+        some = starts[at : at + step]
+        z[at : at + step] = np.add.reduceat(test[rows[some[0] : ends[min(at + step, len(ends)) - 1]]], some - some[0], axis=0)
+    z /= length2[:, None]
+    passage = np.repeat(np.arange(len(starts)), ends - starts)
     order = np.argsort(rows.astype(np.uint16) if len(out) < 1 << 16 else rows, kind="stable")
-    held = rows[order]
+    held, passage = rows[order], passage[order]
     border = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
-    out[held[border]] += np.add.reduceat(z[passage[order]], border, axis=0)
+    at = 0
+    while at < len(border):
+        # Whole terms: up to the last border within reach, one at least.
+        stop = max(at + 1, int(np.searchsorted(border, border[at] + BATCH)))
+        upto = border[stop] if stop < len(border) else len(held)
+        some = border[at:stop]
+        out[held[some]] += np.add.reduceat(z[passage[some[0] : upto]], some - some[0], axis=0)
+        at = stop
 
 
 def latent_space(table: DataFrame, benchmark: list[Item], space: Space, weight: np.ndarray, passages: int) -> np.ndarray:
@@ -252,7 +265,7 @@ def latent_space(table: DataFrame, benchmark: list[Item], space: Space, weight:
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         out = np.zeros((space.size, columns), np.float32)
-        for _, values, borders in _batched(rows):
+        for _, values, borders in _batched(rows, 16 * BATCH):
             starts = _starts(borders, PASSAGE)
             if len(starts):
                 _sketch(space.rows(values), starts, weight32, weighted, out)
@@ -327,6 +340,7 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
         [project[space.rows(benchmark[i].terms[a : a + n])].sum(0) for i, p in asked for a, n in [benchmark[i].parts[p]]]
     )
     norms = np.linalg.norm(vectors, axis=1)
+    project = np.vstack([project, np.zeros((1, project.shape[1]), np.float32)])
     # Longer than the passage by three words at least: of the windows at every block start one lacks two at most.
     lengths = np.array([benchmark[i].parts[p][1] for i, p in asked])
     blocks = -(-(lengths + BLOCK // 2 - 1) // BLOCK)
@@ -344,14 +358,19 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
     def windows(values: np.ndarray, borders: np.ndarray):
         """(query, start word, cosine) of windows close to a benchmark passage."""
         starts = _starts(borders, BLOCK)
-        sums = np.add.reduceat(project[space.rows(values)], starts, axis=0)
+        # Blocks of full length, filled up by a row of zeros, are summed faster than pieces of any length.
+        n = np.diff(borders)
+        shift = BLOCK * np.r_[0, np.cumsum(-(-n // BLOCK))[:-1]] - borders[:-1]
+        placed = np.full(BLOCK * len(starts), space.size, np.int32)
+        placed[np.arange(len(values)) + np.repeat(shift, n)] = space.rows(values)
+        sums = project[placed].reshape(-1, BLOCK, project.shape[1]).sum(1)
         total = np.concatenate([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0, dtype=np.float64)])
         last = np.cumsum(-(-np.diff(borders) // BLOCK))
         owner = np.searchsorted(borders, starts, "right") - 1
         end = last[owner]
         at = np.arange(len(starts))
         for size, own, queries, lengths in groups:
-            z = (total[np.minimum(at + size, end)] - total[at]).astype(np.float32)
+            z = np.subtract(total[np.minimum(at + size, end)], total[:-1], out=np.empty_like(sums), casting="same_kind")
             norm = np.sqrt(np.einsum("ij,ij->i", z, z)) + 1e-6
             # No product exceeds the product of the norms.
             able = norm >= COEFFICIENT * lengths.min()

@@ -36,6 +36,16 @@ def held_out(modulus: int, remainder: int, doc_id: str = "doc_id") -> Column:
     return F.coalesce(crc(doc_id) % modulus == remainder, F.lit(True))
 
 
+def marks(labels: DataFrame, name: str, modulus: int = 5) -> DataFrame:
+    """(doc_id, label) of the rows that may be learned from, one for each id: remainder of ``modulus`` not 0.
+
+    Labels other than 0 and 1 are left out. Rows that label one document differently count as label 1.
+    """
+    rows = labels.select(id_column(labels), F.col(name).cast("int").alias("label"))
+    rows = rows.filter(F.col("label").isin(0, 1) & ~held_out(modulus, 0))
+    return rows.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
 def conf(spark: SparkSession, key: str, default: str) -> str:
     return spark.conf.get(key, default) or default
 

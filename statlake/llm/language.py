@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from statlake.llm.common import blob, held_out, id_column, map_rows
 
 HIDDEN, SEGMENT, BATCH = 8, 96, 1024
-#: Learning rows and their segments for each language, at most.
-SAMPLE_ROWS, ROW_SEGMENTS = 1500, 3
+#: Learning rows for each language, about; least segments of a row, and bytes of it for each one.
+SAMPLE_ROWS, ROW_SEGMENTS, SEGMENT_EVERY = 1500, 3, 2048
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
@@ -217,8 +217,8 @@ def label_positions(docs: DataFrame, net: Network) -> DataFrame:
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, row_segments: int = ROW_SEGMENTS, **params) -> Network | None:
     """A network from the rows of ``docs`` with text and lang; None if there are none.
 
-    Of each language about ``sample_rows`` rows by id hash, and ``row_segments`` segments spread over
-    each, reach the driver.
+    Of each language about ``sample_rows`` rows by id hash reach the driver: segments spread over the whole
+    text, more of a longer one.
     """
     rows = docs.filter(F.col("lang").isNotNull() & (F.octet_length(F.col("text").cast("binary")) > 0))
     counts = rows.groupBy("lang").count().collect()  # one row for each language
@@ -230,7 +230,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, row_segments: int = ROW
 
     def cut(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, lang, text in rows:
-            places = np.linspace(0, max(0, len(text) - SEGMENT), row_segments).astype(int)
+            places = np.linspace(0, max(0, len(text) - SEGMENT), max(row_segments, -(-len(text) // SEGMENT_EVERY))).astype(int)
             for i in sorted(set(places.tolist())):
                 yield doc_id, i, lang, text[i : i + SEGMENT]
 

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import blob, held_out, id_column, map_rows, written
+from statlake.llm.common import blob, held_out, id_column, map_rows, marks, written
 
 _SYMBOLS = b"*#$%&@^~=+<>{}[]\\/_"
 
@@ -166,15 +166,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **param
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
     Null texts count as empty. Null ids are scored and held out; repeated rows are scored each; an empty
-    table gives an empty result; other columns of ``docs`` are ignored. Of repeated label rows one counts.
+    table gives an empty result; other columns of ``docs`` are ignored. Of label rows
+    of one document the largest counts.
     """
     described = written(describe(docs), "quality-statistics")
-    marks = (
-        labels.select(id_column(labels), F.col("quality").cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & ~held_out(5, 0))
-        .dropDuplicates(["doc_id"])
-    )
-    model = fit(described.join(marks, "doc_id"), **params)
+    model = fit(described.join(marks(labels, "quality"), "doc_id"), **params)
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         held: list[tuple] = []

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import WordCache, blob, held_out, id_column, map_rows, sampled, written
+from statlake.llm.common import WordCache, blob, held_out, id_column, map_rows, marks, sampled, written
 
 #: Groups whose naming alone is no insult; a parameter of ``fit``.
 IDENTITY_TERMS = """
@@ -134,8 +134,8 @@ def fit(
     for term in terms:
         names.update(dict.fromkeys(word_features(term)))
     model = Model({name: i for i, name in enumerate(names)}, np.zeros(len(names)), 0.0)
-    x, y, swaps = _sample(rows, model, terms, sample, totals)
-    counter = penalty * (swaps.T @ swaps) / max(1, len(swaps)) * len(y) ** 0.5
+    x, y, products, swaps = _sample(rows, model, terms, sample, totals)
+    counter = penalty * products / max(1, swaps) * len(y) ** 0.5
     prior = np.log(positives / negatives) - np.log(max(1, (y > 0).sum()) / max(1, (y == 0).sum()))
     weights, bias = np.zeros(len(names)), 0.0
     flat = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
@@ -155,9 +155,11 @@ def fit(
 
 
 def _sample(rows: DataFrame, model: Model, terms: list[bytes], size: int, totals: dict[int, int]):
-    """Feature matrix, labels and counterfactual differences of a bounded sample.
+    """Feature matrix and labels of a bounded sample; summed products of the counterfactual differences, and
+    their number.
 
-    Only the columns that a document holds reach the driver, never its text.
+    Only the columns that a document holds reach the driver, never its text. A difference names a few
+    columns, so the sum of products has the size of the model whatever is mentioned.
     """
     known = {term: sorted(model.columns(term)) for term in dict.fromkeys(terms)}
 
@@ -178,25 +180,28 @@ def _sample(rows: DataFrame, model: Model, terms: list[bytes], size: int, totals
     taken = map_rows(
         parts[0].unionByName(parts[1]), columns, "held array<int>, label int, mentioned array<binary>"
     ).collect()
-    x = np.zeros((len(taken), len(model.features)), np.float32)
-    swaps: list[np.ndarray] = []
+    n = len(model.features)
+    x, products, swaps = np.zeros((len(taken), n), np.float32), np.zeros((n, n)), 0
+
+    def swap(term: bytes, replacement: list[int]) -> None:
+        nonlocal swaps
+        at = np.array([*known[term], *replacement], int)
+        change = np.r_[np.ones(len(known[term])), -np.ones(len(replacement))]
+        np.add.at(products, (at[:, None], at[None, :]), np.outer(change, change))
+        swaps += 1
+
     ordered = list(known)
     for i, row in enumerate(taken):
         x[i, row["held"]] = 1
         for term in map(bytes, row["mentioned"]):
             other = ordered[(ordered.index(term) + 1 + i) % len(ordered)]
-            for replacement in ([], known[other]):
-                change = np.zeros(len(model.features))
-                change[known[term]] += 1
-                change[replacement] -= 1
-                swaps.append(change)
+            swap(term, [])
+            swap(term, known[other])
     # Every term against none at all, so that terms no sentence names stay neutral too.
     for term in ordered:
-        change = np.zeros(len(model.features))
-        change[known[term]] = 1
-        swaps.append(change)
+        swap(term, [])
     y = np.array([r["label"] for r in taken], float)
-    return x, y, np.array(swaps) if swaps else np.zeros((0, len(model.features)))
+    return x, y, products, swaps
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -211,14 +216,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of the rows that may be learned from: remainder of 5 not 0."""
-    marks = (
-        labels.select(id_column(labels), F.col(label).cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & ~held_out(5, 0))
-        .dropDuplicates(["doc_id"])
-    )
+    """(doc_id, text, label) of the rows that may be learned from: remainder of 5 not 0.
+
+    Of label rows of one document the largest counts.
+    """
     # Hinted, so that the same join is planned whatever the size of the labels.
-    return docs.select(id_column(docs), blob()).filter(~held_out(5, 0)).join(marks.hint("merge"), "doc_id")
+    return docs.select(id_column(docs), blob()).filter(~held_out(5, 0)).join(marks(labels, label).hint("merge"), "doc_id")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **params) -> DataFrame:

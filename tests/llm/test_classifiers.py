@@ -135,3 +135,92 @@ def test_token_probabilities_sum_to_one(spark, odd_documents):
         inside = 1.0 if s < len(model.names.head) else sum(words[w] + 1 for w in own) / 10 ** model.class_total[s] + 10 ** -model.class_total[s]
         total += chance * inside
     assert total == pytest.approx(1.0, abs=1e-4)
+
+
+def test_clashing_labels_count_as_one(spark):
+    from statlake.llm.common import marks
+
+    rows = [(1, 0, 1), (1, 1, 0), (2, 0, 0), (2, 0, 0), (3, 7, None), (3, 0, 1), (None, 1, 1), (4, None, 1)]
+    for n in (1, 5):
+        found = {r["doc_id"]: r["label"] for r in marks(labels_frame(spark, rows).repartition(n), "quality").collect()}
+        assert found == {i: label for i, label in {1: 1, 2: 0, 3: 0}.items() if zlib.crc32(str(i).encode()) % 5}
+
+
+def test_discriminant_by_brute_force(spark, documents):
+    """Scores from covariances and inverses written out, without moments or factors."""
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, 20 + i % 60) if i % 3 else " ".join([sentence(rng, 4)] * 9), "en") for i in range(200)]
+    found = {r["doc_id"]: r["score"] for r in quality.classify(documents(rows), labels_frame(spark, [(i, i % 3 > 0, 0) for i in range(200)])).collect()}
+    x = {i: np.array(quality.statistics(t.encode())) for i, t, _ in rows}
+    learn = [i for i in x if zlib.crc32(str(i).encode()) % 5]
+    every = np.array([x[i] for i in learn])
+    centre, scale = every.mean(0), np.sqrt(np.maximum(every.var(0), 1e-6))
+    groups = [np.array([(x[i] - centre) / scale for i in learn if (i % 3 > 0) == k]) for k in (0, 1)]
+    own = [np.cov(g.T, bias=True) for g in groups]
+    pooled = sum(len(g) * c for g, c in zip(groups, own)) / len(learn)
+
+    def density(v, k):
+        c = 0.8 * own[k] + 0.2 * pooled
+        c = 0.95 * c + 0.05 * np.trace(c) / len(c) * np.eye(len(c)) + 1e-6 * np.eye(len(c))
+        d = (v - centre) / scale - groups[k].mean(0)
+        return math.log(len(groups[k]) / len(learn)) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * d @ np.linalg.inv(c) @ d
+
+    for i, v in x.items():
+        assert found[i] == pytest.approx(1 / (1 + math.exp(-max(-40, min(40, (density(v, 1) - density(v, 0)) / 2)))), abs=1e-6)
+
+
+def test_toxicity_scores_by_brute_force(spark, documents):
+    """A score is the logistic sum of the weights of the features that stand in the text."""
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 30) + (" scum. Vermin!" if i % 4 == 0 else ""), "en") for i in range(200)] + [(500, None, "en"), (501, "", "en")]
+    docs = documents(rows)
+    model = toxicity.fit(toxicity.labelled(docs, labels_frame(spark, [(i, 1, i % 4 == 0) for i in range(200)]), "toxic"))
+    for row in toxicity.score(docs, model).collect():
+        text = dict((i, t) for i, t, _ in rows)[row["doc_id"]] or ""
+        bare = {w.strip(toxicity.PUNCTUATION.decode()) for w in text.lower().split()} - {""}
+        names = {w.encode() for w in bare} | {f"{k}^{w[:k]}".encode() for w in bare for k in (4, 5) if len(w) > k}
+        z = model.bias + sum(model.weights[i] for name, i in model.features.items() if name in names)
+        assert row["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+
+
+def test_swaps_are_summed_as_single_differences(spark, documents):
+    rows = documents([(i, f"the muslims and black cats {i}. jews", "en") for i in range(30)]).selectExpr("doc_id", "cast(text as binary) text", "doc_id % 2 AS label")
+    terms = [b"muslims", b"jews", b"black"]
+    names = [f for term in terms for f in toxicity.word_features(term)]
+    model = toxicity.Model({f: i for i, f in enumerate(names)}, np.zeros(len(names)), 0.0)
+    x, y, products, swaps = toxicity._sample(rows, model, terms, 100, {0: 15, 1: 15})
+    assert swaps == 30 * 3 * 2 + 3 and products.shape == (len(names),) * 2
+    assert np.allclose(products, products.T) and np.linalg.eigvalsh(products).min() > -1e-9
+    weights = np.ones(len(names))
+    # A term against none changes the score by its features; against another one by the difference.
+    sizes = [len(toxicity.word_features(t)) for t in terms]
+    least = sum(31 * n * n for n in sizes)
+    assert weights @ products @ weights >= least
+
+
+def test_pooled_languages_by_brute_force():
+    """Each byte of each segment through both gated cells, one after the other, in plain numbers."""
+    rng = np.random.default_rng(2)
+    n = language.HIDDEN
+    cells = [language.Cell(rng.standard_normal((3 * n, 256)).astype(np.float32), rng.standard_normal((3 * n, n)).astype(np.float32) * 0.3) for _ in range(2)]
+    net = language.Network(["a", "b", "c"], cells, [rng.standard_normal((3, n)).astype(np.float32) for _ in range(2)], rng.standard_normal(3).astype(np.float32))
+    texts = [b"x", b"some words " * 20, b"", bytes(range(1, 255)), "äöü ß".encode() * 30]
+
+    def states(cell, data):
+        h, out = np.zeros(n), []
+        for byte in data:
+            x, g = cell.table[:, byte].astype(float), cell.state.astype(float) @ h
+            update, reset = (1 / (1 + np.exp(-(x[a : a + n] + g[a : a + n]))) for a in (0, n))
+            new = np.tanh(x[2 * n :] + reset * g[2 * n :])
+            h = update * h + (1 - update) * new
+            out.append(h)
+        return out
+
+    for text, got in zip(texts, language.pooled(net, texts)):
+        total = np.zeros(3)
+        for at in range(0, len(text), language.SEGMENT):
+            part = text[at : at + language.SEGMENT]
+            for a, b in zip(states(cells[0], part), states(cells[1], part[::-1])[::-1]):
+                z = np.exp(net.bias + net.out[0] @ a + net.out[1] @ b)
+                total += z / z.sum()
+        assert got == pytest.approx(total / len(text) if text else total, abs=1e-4)

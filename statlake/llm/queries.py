@@ -25,7 +25,7 @@ def op2_quality_discriminant(t):
     """
     WITH v AS (
         SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
-        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
           AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
     ), s AS (
         SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score

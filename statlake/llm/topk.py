@@ -27,12 +27,12 @@ RINGS = 4
 def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     """(vec_id, v, norm2, dim): floor(scale * x) of each component, as doubles in bytes.
 
-    Vectors that are null, empty, without id, or hold a null or non-finite component are left out.
+    Vectors that are null, without id, or hold a null or non-finite component are left out.
     """
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for vec_id, values in rows:
-            if vec_id is None or not values or None in values:
+            if vec_id is None or values is None or None in values:
                 continue
             x = np.asarray(values, np.float64)
             if np.isfinite(x).all():
@@ -116,8 +116,45 @@ def _nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return own, d[np.arange(len(x)), own]
 
 
+def _chain(pivots: np.ndarray) -> np.ndarray:
+    """The pivots in an order in which each is followed by the nearest one left."""
+    order, left = [0], list(range(1, len(pivots)))
+    while left:
+        d = _apart(pivots[order[-1]][None, :], pivots[left])[0]
+        order.append(left.pop(int(d.argmin())))
+    return np.array(order)
+
+
+def _query_blocks(index: Index, queries: DataFrame) -> DataFrame:
+    """``queries`` with ``block``: those of near pivots together, about ``BLOCK_QUERIES`` in each.
+
+    Queries of one block visit much the same annuli, so that an annulus meets few blocks.
+    """
+    pivots = index.pivots
+
+    def place(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for query_id, v, norm2 in rows:
+            x = np.hstack([np.frombuffer(v)[None, :], np.zeros((1, 1))])
+            yield query_id, v, norm2, int(_nearest(x, pivots)[0][0])
+
+    homes = written(map_rows(queries, place, "query_id bigint, v binary, norm2 double, home int"), "queries")
+    # One row a pivot.
+    counts = {r["home"]: r["n"] for r in homes.groupBy("home").agg(F.count("*").alias("n")).collect()}
+    base, shares, block, held = [0] * len(pivots), [1] * len(pivots), 0, 0
+    for home in _chain(pivots).tolist():
+        n = counts.get(home, 0)
+        if held and held + n > BLOCK_QUERIES:
+            block, held = block + 1, 0
+        base[home], shares[home] = block, max(1, -(-n // BLOCK_QUERIES))
+        held += n
+        if shares[home] > 1:
+            block, held = block + shares[home], 0
+    at = [F.element_at(F.array(*[F.lit(x) for x in values]), F.col("home") + 1) for values in (base, shares)]
+    return homes.select("query_id", "v", "norm2", (at[0] + F.pmod(F.xxhash64("query_id"), at[1])).cast("int").alias("block"))
+
+
 def _visit(index: Index, queries: DataFrame, k: int, first: bool) -> DataFrame:
-    """(query_id, v, least, annulus): the annuli that a query visits in this round.
+    """(query_id, block, v, least, annulus): the annuli that a query visits in this round.
 
     First the nearest until they hold k + 1 rows; then all others whose bound is not beyond the
     distance of the k-th score so far (``least``).
@@ -126,46 +163,48 @@ def _visit(index: Index, queries: DataFrame, k: int, first: bool) -> DataFrame:
     pivots, low, high = index.pivots, index.low, index.high
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for query_id, v, norm2, least in rows:
+        for query_id, block, v, norm2, least in rows:
             bound = _bounds(np.frombuffer(v)[None, :], pivots, annuli // RINGS, low, high)[0]
             order = np.lexsort((annuli, bound))
             held = np.cumsum(counts[order])
             near = int(np.searchsorted(held, k + 1)) + 1
             if first:
                 for a in order[:near]:
-                    yield query_id, v, float("-inf"), int(annuli[a])
+                    yield query_id, block, v, float("-inf"), int(annuli[a])
             else:
                 reach = np.inf if least is None else np.sqrt(max(0.0, most + norm2 - 2 * least)) + 1e-6
                 for a in order[near:]:
                     if bound[a] > reach:
                         break
-                    yield query_id, v, float("-inf") if least is None else float(least), int(annuli[a])
+                    yield query_id, block, v, float("-inf") if least is None else float(least), int(annuli[a])
 
-    columns = queries.select("query_id", "v", "norm2", "least")
-    return map_rows(columns, run, "query_id bigint, v binary, least double, annulus int")
+    columns = queries.select("query_id", "block", "v", "norm2", "least")
+    return map_rows(columns, run, "query_id bigint, block int, v binary, least double, annulus int")
 
 
-def _meet(index: Index, visits: DataFrame, k: int, n_queries: int) -> DataFrame:
+def _meeting_rows(index: Index, visits: DataFrame, parts: DataFrame) -> DataFrame:
+    """(annulus, part, block, vec_id, v): each row once for each query block that visits its annulus.
+
+    The part of an annulus is in the join's key, so that a full annulus is no hot key.
+    """
+    pairs = visits.select("annulus", "block").distinct().join(F.broadcast(parts), "annulus")
+    pairs = pairs.select(
+        F.col("annulus").alias("annulus"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("block").alias("block")
+    )
+    rows = index.rows.join(F.broadcast(parts), "annulus")
+    rows = rows.select("annulus", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), "vec_id", "v")
+    return rows.join(pairs, ["annulus", "part"])
+
+
+def _meet(index: Index, visits: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, score): the k best of each visited block, none below the query's bound."""
     spark = visits.sparkSession
     parts = spark.createDataFrame(
         [(int(a), -(-int(n) // BLOCK_ROWS)) for a, n in zip(index.annuli, index.counts)], "annulus int, parts int"
     )
-    blocks = -(-n_queries // BLOCK_QUERIES)
-    rows = index.rows.join(F.broadcast(parts), "annulus").select(
-        "annulus",
-        F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        "vec_id",
-        "v",
-    )
+    rows = _meeting_rows(index, visits, parts)
     asked = visits.join(F.broadcast(parts), "annulus").select(
-        "annulus",
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
-        "query_id",
-        "v",
-        "least",
+        "annulus", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "query_id", "v", "least"
     )
 
     def best(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -203,7 +242,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, k: int = 20, modulus: int = 20, scale: float = 64.0) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products of each query, ties to smaller ids.
 
-    Queries are rows whose id is divisible by ``modulus``. Vectors meet only those of their own length.
+    Queries are rows whose id is divisible by ``modulus``. Vectors meet only those of their own length, empty ones too.
     A row never meets rows of its own id; of repeated rows each counts as a candidate, and a repeated
     query is asked once. An empty table gives an empty result. Scores are exact below 2**53.
     """
@@ -217,13 +256,13 @@ def top_k(vectors: DataFrame, k: int = 20, modulus: int = 20, scale: float = 64.
         queries = (
             rows.filter(F.col("vec_id") % modulus == 0)
             .dropDuplicates(["vec_id", "v"])
-            .select(F.col("vec_id").alias("query_id"), "v", "norm2", F.lit(None).cast("double").alias("least"))
+            .select(F.col("vec_id").alias("query_id"), "v", "norm2")
         )
-        n_queries = max(1, -(-n // modulus))
-        near = written(_ranked(_meet(index, _visit(index, queries, k, True), k, n_queries), k), "top-near")
+        queries = written(_query_blocks(index, queries), "query-blocks").withColumn("least", F.lit(None).cast("double"))
+        near = written(_ranked(_meet(index, _visit(index, queries, k, True), k), k), "top-near")
         least = near.filter(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("least"))
         known = queries.drop("least").join(least, "query_id", "left")
-        far = _meet(index, _visit(index, known, k, False), k, n_queries)
+        far = _meet(index, _visit(index, known, k, False), k)
         results.append(_ranked(near.select("query_id", "vec_id", "score").unionByName(far), k))
     if not results:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")

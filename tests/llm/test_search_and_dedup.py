@@ -18,7 +18,7 @@ def test_top_k_by_brute_force(spark):
     vectors = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(900)]
     same = [0.5] * 8
     vectors += [(1000 + i, same) for i in range(400)]
-    odd = [(2000, None), (2001, []), (2002, [None] * 8), (2003, [float("nan")] * 8), (2004, [float("inf")] * 8), (None, same), (2020, [1.0, 2.0]), (2021, [1.0, 1.0])]
+    odd = [(2000, None), (2001, []), (2002, [None] * 8), (2003, [float("nan")] * 8), (2004, [float("inf")] * 8), (None, same), (2020, [1.0, 2.0]), (2021, [1.0, 1.0]), (2040, [])]
     frame = spark.createDataFrame([(i, v, "x", 1) for i, v in vectors + odd], "vec_id bigint, embedding array<float>, v string, rank int")
     got = sorted(tuple(r) for r in topk.top_k(frame).collect())
     ids = np.array([i for i, _ in vectors])
@@ -28,11 +28,30 @@ def test_top_k_by_brute_force(spark):
         scores = x @ x[i]
         order = [j for j in np.lexsort((ids, -scores)) if j != i][:20]
         expected += [(int(ids[i]), k + 1, int(ids[j]), int(scores[j])) for k, j in enumerate(order)]
-    expected.append((2020, 1, 2021, 64 * 64 + 128 * 64))
+    expected += [(2020, 1, 2021, 64 * 64 + 128 * 64), (2040, 1, 2001, 0)]
     assert got == sorted(expected)
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_rows_meet_only_the_query_blocks_that_visit_them(spark, monkeypatch):
+    """Far groups of directions, small blocks: a row enters once for each block that visits its annulus."""
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 16)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 500)
+    rng = np.random.default_rng(4)
+    middles = rng.normal(0, 1, (20, 16))
+    vectors = [(i, (middles[i % 19] + rng.normal(0, 0.01, 16)).tolist()) for i in range(9000)]
+    table = topk.quantised(spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")).persist()
+    index = topk.Index(table, 16, 9000, table.agg({"norm2": "max"}).first()[0])
+    queries = topk._query_blocks(index, table.filter("vec_id % 20 = 0").selectExpr("vec_id AS query_id", "v", "norm2"))
+    sizes = [r["count"] for r in queries.groupBy("block").count().collect()]
+    assert len(sizes) > 1 and sum(sizes) == 450
+    visits = topk._visit(index, queries.selectExpr("*", "double(null) AS least"), 20, True).persist()
+    parts = spark.createDataFrame([(int(a), -(-int(n) // 500)) for a, n in zip(index.annuli, index.counts)], "annulus int, parts int")
+    count = dict(zip(index.annuli.tolist(), index.counts.tolist()))
+    expected = sum(count[r["annulus"]] for r in visits.select("annulus", "block").distinct().collect())
+    assert topk._meeting_rows(index, visits, parts).count() == expected < 9000 * len(sizes)
+
+
 def _fingerprint(text):
     import xxhash
 

@@ -37,6 +37,7 @@ BENCHMARK_ENERGY = 0.8
 COSINE, COEFFICIENT = 0.35, 0.3
 #: Least longest-common-subsequence share of an item; with the answer found; of the answer itself.
 COMMON, COMMON_WITH_ANSWER, ANSWER = 0.7, 0.5, 0.8
+_FOUND = "doc_id bigint, version bigint, item_id bigint, cosine double, first_word int, n_words int, common double, answered boolean"
 _EDGE = b".,;:!?\"'()[]"
 _SENTENCE = re.compile(rb"[.!?\n]+")
 
@@ -393,13 +394,10 @@ def _search(table: DataFrame, benchmark: list[Item], space: Space, weight: np.nd
                 doc_id, version, doc = held[owner]
                 for cosine, start, part in sorted(places, reverse=True):
                     if found := checker.check(i, part, doc, start):
-                        yield doc_id, version, i, cosine, *found
+                        yield doc_id, version, benchmark[i].item_id, cosine, *found
                         break
 
-    return map_rows(
-        table, run,
-        "doc_id bigint, version bigint, item int, cosine double, first_word int, n_words int, common double, answered boolean",
-    )
+    return map_rows(table, run, _FOUND)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -412,11 +410,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     that the driver holds, four bytes a word.
     """
     spark = docs.sparkSession
-    schema = "doc_id bigint, version bigint, item_id bigint, cosine double, first_word int, n_words int, common double, answered boolean"
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text"))
     held = items(sorted(rows.collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
     if not held:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], _FOUND)
     table = written(tokens(docs), "terms")
     space = Space(held)
     counts, passages = document_frequency(table, space)
@@ -424,14 +421,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     directions = latent_space(table, held, space, weight, passages)
     out = None
     for at in range(0, len(held), SEARCH_ITEMS):
-        some = held[at : at + SEARCH_ITEMS]
-        ids = [item.item_id for item in some]
-
-        def named(rows: Iterator[tuple], ids=ids) -> Iterator[tuple]:
-            for doc_id, version, item, *rest in rows:
-                yield doc_id, version, ids[item], *rest
-
-        found = map_rows(_search(table, some, space, weight, directions), named, schema)
+        found = _search(table, held[at : at + SEARCH_ITEMS], space, weight, directions)
         out = found if out is None else out.unionByName(found)
     return out
 

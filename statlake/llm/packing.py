@@ -22,7 +22,7 @@ from statlake.llm.common import blob, id_column, in_groups, map_rows, written
 CAPACITY, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 #: Marks that follow letters as one unit of the tokenizer.
-_MARKS = ".,;:!?\")]}*#$%&|-_/+=~"
+_MARKS = b".,;:!?\")]}*#$%&|-_/+=~"
 #: Rows of equal length that one task ranks.
 RANK_ROWS = 50_000
 
@@ -56,9 +56,9 @@ class Encoder:
         self.limit = limit
         # Two generations each: what is met again outlives the change.
         self.words: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
         self.old_words: dict[bytes, bytes] = {}
-        self.old_cores: dict[str, bytes] = {}
+        self.old_cores: dict[bytes, bytes] = {}
         self.marks: dict[bytes, bytes] = {}
 
     def alone(self, text: str) -> bytes:
@@ -76,34 +76,37 @@ class Encoder:
         known = missing & self.old_words.keys()
         self.words.update((w, self.old_words[w]) for w in known)
         missing -= known
-        # Plain words by their letters and marks; two flat lists, as a list of many tuples is slow to free.
+        # Plain words by their letters and marks; flat lists, as a list of many tuples is slow to free.
         plain: list[bytes] = []
-        cores: list[str] = []
+        cores: list[bytes] = []
+        ends: list[bytes] = []
         for raw in missing:
-            text = raw.decode()
-            core = text.rstrip(_MARKS)
-            if core.isalpha() and (raw.isascii() or max(core) < "\u0100"):
-                plain.append(raw)
-                cores.append(core.lower())
+            core = raw.rstrip(_MARKS)
+            if core.isalpha():  # of bytes: ASCII letters alone
+                low = core.lower()
             else:
-                self.words[raw] = self.alone(text)
+                text = core.decode()
+                if not text.isalpha() or max(text) >= "\u0100":
+                    self.words[raw] = self.alone(raw.decode())
+                    continue
+                low = text.lower().encode()
+            plain.append(raw)
+            cores.append(low)
+            ends.append(raw[len(core) :])
         wanted = set(cores) - self.cores.keys()
         known_cores = wanted & self.old_cores.keys()
         self.cores.update((c, self.old_cores[c]) for c in known_cores)
-        self._together(sorted(wanted - known_cores))
-        for raw, core in zip(plain, cores):
-            ids = self.cores[core]
-            mark = raw[len(core.encode()) :]
-            if mark:
-                if mark not in self.marks:
-                    self.marks[mark] = self.alone(mark.decode())
-                ids += self.marks[mark]
-            self.words[raw] = ids
-
-    def _together(self, cores: list[str]) -> None:
+        self._together(list(wanted - known_cores))
+        for mark in set(ends) - self.marks.keys():
+            self.marks[mark] = self.alone(mark.decode())
+        letters, marks, words = self.cores, self.marks, self.words
+        for raw, core, mark in zip(plain, cores, ends):
+            words[raw] = letters[core] + marks[mark] if mark else letters[core]
+
+    def _together(self, cores: list[bytes]) -> None:
         for at in range(0, len(cores), 1000):
             some = cores[at : at + 1000]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            found = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
             unit = np.array(found.word_ids)
             ids = np.array(found.ids, "<u4").tobytes()
             border = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]).tolist()

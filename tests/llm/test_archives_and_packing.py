@@ -121,3 +121,18 @@ def test_pipeline_stages_on_odd_rows(spark, odd_documents, documents, tmp_path):
     assert held["substring_dedup"].keys() - held["benchmark_decontamination"].keys() == {700}
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in packed.collect()} == held["benchmark_decontamination"].keys()
+
+
+def test_pipeline_on_empty_tables(spark, odd_documents, documents, tmp_path):
+    """No documents give no pieces; without labels and benchmark items every component keeps one document."""
+    import corpus_pipeline
+
+    labels_frame(spark, []).write.parquet(str(tmp_path / "none/labels.parquet"))
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(tmp_path / "none/benchmark.parquet"))
+    documents([]).write.parquet(str(tmp_path / "none/documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    odd_documents.write.parquet(str(tmp_path / "some/documents.parquet"))
+    labels_frame(spark, []).write.parquet(str(tmp_path / "some/labels.parquet"))
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(tmp_path / "some/benchmark.parquet"))
+    left = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path / "some")).collect()}
+    assert set(range(2, 40)) <= left and 105 not in left

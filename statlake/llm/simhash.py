@@ -4,7 +4,9 @@ Two fingerprints that differ in at most three bits differ in at most one bit of
 lower half. Each half has its own vantage-point tree under the Hamming distance, with radius one. A tree
 fitted on a sample sends every distinct fingerprint to the shard of its ball; one within the radius
 beyond a ball's border also goes inside it, so every linked pair meets in some shard. Shards go on
-splitting by vantage points of their own and compare what is left exactly, over all 64 bits.
+splitting by vantage points of their own and compare what is left exactly, over all 64 bits. A shard too
+large for one task (a dense ball of near copies, or a table beyond the trees' leaves) is dealt into
+blocks by hash, and every two of its blocks meet in a task of their own.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from statlake.llm.common import blob, id_column, map_rows, sampled, written
 BITS, RADIUS, HALF_RADIUS = 64, 3, 1
 #: Fingerprints from which the sending trees are fitted, about; rows wanted in a shard.
 TREE_SAMPLE, SHARD_ROWS, MOST_SHARDS = 131_072, 4_000, 16_384
+#: Fingerprints of a block of a shard that is too large for one task; every two blocks meet.
+BLOCK_ROWS = 262_144
 _SMALL, _MATRIX = 256, 1024
 
 
@@ -172,7 +176,23 @@ def _compare(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([empty, *one]), np.concatenate([empty, *other])
 
 
-def near_links(distinct: DataFrame) -> DataFrame:
+def paired_blocks(sent: DataFrame, block_rows: int) -> DataFrame:
+    """(shard, low, high, fp): the rows of ``sent`` (shard, fp) for every two blocks of their shard.
+
+    A shard of at most ``block_rows`` rows is one block and is not copied. Row counts come from all rows;
+    there is one for each leaf of the two trees at most, so the large ones are a small table.
+    """
+    counts = sent.groupBy("shard").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    large = counts.filter("blocks > 1")
+    known = sent.join(F.broadcast(large), "shard", "left").select("shard", "fp", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    own = known.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    each = own.select("shard", "fp", "own", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return each.filter("blocks = 1 or other <> own").select(
+        "shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp"
+    )
+
+
+def near_links(distinct: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(a, b): links among distinct fingerprints ``fp`` that connect all within the radius."""
     n = distinct.count()
     if not n:
@@ -202,8 +222,8 @@ def near_links(distinct: DataFrame) -> DataFrame:
         a, b = links(values)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    sent = distinct.select("fp").mapInArrow(send, "shard bigint, fp bigint")
-    return sent.groupBy("shard").applyInPandas(meet, "a bigint, b bigint")
+    sent = written(distinct.select("fp").mapInArrow(send, "shard bigint, fp bigint"), "shards")
+    return paired_blocks(sent, block_rows).groupBy("shard", "low", "high").applyInPandas(meet, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -96,9 +96,12 @@ def test_near_duplicates_by_brute_force(spark, odd_documents):
     assert kept.count() == len(set(roots))
 
 
-@pytest.mark.parametrize("near", [20, 3000])
-def test_tree_links_connect_what_brute_force_connects(spark, near):
-    """A dense ball of near copies beside scattered values; small shards, so that borders are crossed."""
+@pytest.mark.parametrize("near, block_rows", [(20, simhash.BLOCK_ROWS), (3000, simhash.BLOCK_ROWS), (3000, 90)])
+def test_tree_links_connect_what_brute_force_connects(spark, near, block_rows):
+    """A dense ball of near copies beside scattered values; small shards, so that borders are crossed.
+
+    With blocks of 90 rows the ball's shards are dealt over tasks, every two blocks together.
+    """
     rng = random.Random(near)
     centre = rng.getrandbits(64)
     values = {rng.getrandbits(64) for _ in range(1500)}
@@ -111,7 +114,7 @@ def test_tree_links_connect_what_brute_force_connects(spark, near):
     frame = spark.createDataFrame([(int(v),) for v in held.view(np.int64)], "fp bigint")
     shard_rows, simhash.SHARD_ROWS = simhash.SHARD_ROWS, 100
     try:
-        found = simhash.components(simhash.near_links(frame)).collect()
+        found = simhash.components(simhash.near_links(frame, block_rows)).collect()
     finally:
         simhash.SHARD_ROWS = shard_rows
     got = {}
@@ -134,6 +137,18 @@ def test_tree_links_connect_what_brute_force_connects(spark, near):
     assert {frozenset(x) for x in got.values()} == {frozenset(x) for x in expected.values() if len(x) > 1}
 
 
+def test_every_two_rows_of_a_large_shard_meet_and_no_group_is_large(spark):
+    rows = [(0, i) for i in range(5)] + [(1, 100 + i) for i in range(1000)]
+    dealt = simhash.paired_blocks(spark.createDataFrame(rows, "shard bigint, fp bigint"), 100).collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r["shard"], r["low"], r["high"]), []).append(r["fp"])
+    assert sorted(groups[0, 0, 0]) == list(range(5))
+    assert all(len(held) == len(set(held)) <= 300 for held in groups.values())
+    met = {(a, b) for (shard, _, _), held in groups.items() if shard == 1 for a in held for b in held}
+    assert len(met) == 1000 * 1000
+
+
 def test_one_of_each_by_brute_force(spark, documents, odd_documents):
     """The pipeline's stage: copies with a word changed, chains, a line that many share, rows without id."""
     import corpus_pipeline

@@ -162,16 +162,16 @@ def id_column(df: DataFrame, name: str = "doc_id") -> Column:
     return F.col(name).cast("bigint").alias(name)
 
 
-def summed(parts: DataFrame) -> DataFrame:
-    """(key, data) with the float32 arrays of equal key added up, spread over tasks by key."""
+def summed(parts: DataFrame, key: str = "int") -> DataFrame:
+    """(key, data) with the float32 arrays of equal key added up, spread over tasks by key, whose type is ``key``."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        held: dict[int, np.ndarray] = {}
-        for key, data in rows:
+        held: dict[int | bytes, np.ndarray] = {}
+        for each, data in rows:
             value = np.frombuffer(data, np.float32).astype(np.float64)
-            held[key] = held[key] + value if key in held else value
-        yield from ((key, value.astype(np.float32).tobytes()) for key, value in held.items())
+            held[each] = held[each] + value if each in held else value
+        yield from ((each, value.astype(np.float32).tobytes()) for each, value in held.items())
 
-    schema = "key int, data binary"
+    schema = f"key {key}, data binary"
     dealt = parts.repartition(min(64, shuffle_width(parts)), "key")
     return map_rows(dealt, run, schema, 16)

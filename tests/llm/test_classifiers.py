@@ -121,11 +121,46 @@ def test_base_scores_by_brute_force(spark, odd_documents):
     assert lm.score(odd_documents.limit(0)).count() == 0
 
 
+def test_block_words_and_endings_by_brute_force(spark, odd_documents):
+    """Small groups, few endings held, several blocks in a task: the sums are those of all learning documents."""
+    anchors = [b"", b"the", b"der", b"word5x5", b"(the)"]
+    rows = [(r["text"], i % 3, i % 5 != 0) for i, r in enumerate(odd_documents.collect())]
+    dealt = spark.createDataFrame(rows, "text string, block int, learn boolean").selectExpr("block", "learn", "cast(text as binary) text")
+    words, pairs = {}, Counter()
+    for text, block, learn in rows:
+        found = lm.tokens((text or "").encode())
+        for i, word in enumerate(found):
+            words[block, word] = words.get((block, word), 0) + learn
+            if learn and word not in anchors:
+                core = word.strip(lm._EDGE) or word
+                for other in found[max(0, i - 4) : i] + found[i + 1 : i + 5]:
+                    if other in anchors:
+                        pairs.update((key, other) for key in {core[-1:], core[-2:], core[-3:]})
+    found = lm.block_words(dealt.coalesce(1), anchors, 500, 20)
+    got = {(r[0], bytes(r[1])): r[2] for r in found.filter("block is not null").groupBy("block", "word").sum("n").collect()}
+    assert got == words
+    names, counts = lm.known_endings(found.filter("block is null").selectExpr("word key", "near data"), 1)
+    assert names == sorted({key for key, _ in pairs})
+    assert {(names[i], anchors[j]): n for (i, j), n in np.ndenumerate(counts) if n} == pairs
+
+
+def test_known_endings_are_bounded_by_their_share(spark):
+    rows = [(b"a", [900.0]), (b"b", [100.0]), (b"xa", [899.0]), (b"ya", [1.0]), (b"zb", [100.0])] * 2
+    near = spark.createDataFrame([(k, np.array(v, np.float32).tobytes()) for k, v in rows], "key binary, data binary")
+    assert lm.known_endings(near, 1, 1000)[0] == [b"a", b"b", b"xa", b"ya", b"zb"]
+    names, counts = lm.known_endings(near, 1, 100)
+    assert names == [b"a", b"b", b"xa", b"zb"] and counts[:, 0].tolist() == [1800, 200, 1798, 200]
+    assert lm.known_endings(near.limit(0))[0] == []
+
+
 def test_token_probabilities_sum_to_one(spark, odd_documents):
     rows = odd_documents.filter("doc_id < 40").selectExpr("doc_id", "cast(text as binary) text")
     words = Counter(w for r in rows.collect() for w in lm.tokens(bytes(r["text"])))
     counts = spark.createDataFrame([(w, n) for w, n in words.items()], "word binary, n bigint")
-    model = lm.start_model(rows, counts, head=20, classes=5)
+    stretches = lm.sample_stretches(rows)
+    found = lm.block_words(rows.selectExpr("1 block", "true learn", "text"), sorted({w for s in stretches for w in s})[:30])
+    near = found.filter("block is null").selectExpr("word key", "near data")
+    model = lm.start_model(stretches, counts, near, head=20, classes=5)
     symbols = np.arange(model.symbols)
     context = np.array([model.symbols, 3, 1, 2], np.int32)
     total = 0.0

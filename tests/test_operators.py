@@ -216,3 +216,12 @@ def test_month_chunks(spark):
     assert all((a.year, a.month) == (b.year, b.month) for a, b in got) and len(got) == 4
     empty = spark.createDataFrame([(dt.date(2024, 5, 2), dt.date(2024, 5, 1))], "a date, b date")
     assert empty.select(F.inline(scope.month_chunks(F.col("a"), F.col("b")))).count() == 0
+
+
+def test_ties_are_settled_after_the_shuffle(spark, rows):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, None, "d"), (2, None, "d"), (None, 1, "e")], "k int, n int, v string")
+    found = merge.newest_per_key(df, ["k"], [F.col("n").desc()])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    plain = ranking.first_per_key(df, ["k"], [F.col("n").desc(), F.xxhash64("n", "v")])
+    assert rows(found) == rows(plain)
+    assert "xxhash64" in plan and "xxhash64" not in plan[plan.index("Exchange") :]

@@ -333,3 +333,21 @@ def test_incremental_is_refused_for_single_shot_loaders(spark):
         cursors.load_plan(df, "incremental", F.current_date()).collect()
     with pytest.raises(ValueError):
         cursors.load_plan(df, "other", F.current_date())
+
+
+def test_a_repeated_batch_is_not_written_again(spark, prefix, rows):
+    table = loads.raw_table("statcast_pitches", "pitches")
+
+    def load(load_id, *values):
+        frame = spark.createDataFrame([(k, 1, 1, v, "2024-05-01") for k, v in values], "game_pk long, at_bat_number int, pitch_number int, v string, game_date string")
+        loads.load_table_batch(spark, table, frame, load_id, NOW, [F.col("v").desc()], prefix)
+        held = loads.open_table(spark, table, prefix).read()
+        return _files(held), rows(held.select("game_pk", "v", "_load_id"))
+
+    load("a", (1, "x"), (2, "y"), (9000, None))
+    first = load("b", (2, "z"), (9000, None))
+    assert first[1] == sorted([(1, "x", "a"), (2, "z", "b"), (9000, None, "b")], key=str)
+    assert load("b", (2, "z"), (9000, None)) == first
+    # As many rows of the same load with another value, or another key, are written.
+    assert load("b", (2, "w"), (9000, None))[1] == sorted([(1, "x", "a"), (2, "w", "b"), (9000, None, "b")], key=str)
+    assert load("b", (1, "w"), (9000, "n"))[1] == sorted([(1, "w", "b"), (2, "w", "b"), (9000, "n", "b")], key=str)

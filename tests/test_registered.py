@@ -26,3 +26,15 @@ def test_queries_without_sql_run(spark):
 
 def test_entry_has_rows(spark):
     assert entry(spark).limit(1).count() == 1
+
+
+@pytest.mark.parametrize("limit, held", [("65535", "8000"), ("4000", "4000")])
+def test_a_query_holds_any_session_to_methods_the_jvm_compiles(spark, limit, held):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, limit)
+        queries()["flag_yn"](spark, SF)
+        assert spark.conf.get(name) == held
+    finally:
+        spark.conf.set(name, before)

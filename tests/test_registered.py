@@ -38,3 +38,9 @@ def test_a_query_holds_any_session_to_methods_the_jvm_compiles(spark, limit, hel
         assert spark.conf.get(name) == held
     finally:
         spark.conf.set(name, before)
+
+
+def test_war_texts_are_cast_before_the_join(spark):
+    plan = queries()["model_batting_war"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join", 1)
+    assert "as decimal(6,2)" not in above and "as decimal(6,2)" in below

@@ -351,3 +351,19 @@ def test_a_repeated_batch_is_not_written_again(spark, prefix, rows):
     # As many rows of the same load with another value, or another key, are written.
     assert load("b", (2, "w"), (9000, None))[1] == sorted([(1, "x", "a"), (2, "w", "b"), (9000, None, "b")], key=str)
     assert load("b", (1, "w"), (9000, "n"))[1] == sorted([(1, "w", "b"), (2, "w", "b"), (9000, "n", "b")], key=str)
+
+
+def test_partitions_of_games_do_not_grow_with_the_games(spark, prefix, rows):
+    """However far game numbers reach, the driver has a bounded number of partitions to list; ranges that share one keep their rows."""
+    part = loads.raw_table("statcast_pitches", "pitches").partition_by
+    parts = spark.range(0, 60_000_000, 2500).selectExpr("id AS game_pk").select(F.expr(part).alias("part"))
+    assert parts.distinct().count() == loads.GAME_PARTITIONS
+    near = spark.range(0, 1_000_000, 2500).selectExpr("id AS game_pk").selectExpr(f"{part} AS part", "game_pk div 5000 AS game_range")
+    assert near.where("part <> game_range").count() == 0
+    table, far = loads.raw_table("mlb_statsapi_schedules", "schedules"), 1 + 5000 * loads.GAME_PARTITIONS
+    for load_id, values in (("1", [(1, "a"), (far, "b")]), ("2", [(far, "c"), (far + 1, "d")])):
+        batch = spark.createDataFrame(values, "game_pk long, v string").withColumn("season", F.lit("2024"))
+        loads.load_table_batch(spark, table, batch, load_id, NOW, None, prefix)
+    held = loads.open_table(spark, table, prefix)
+    assert rows(held.read().select("game_pk", "v", "_load_id")) == sorted([(1, "a", "1"), (far, "c", "2"), (far + 1, "d", "2")], key=str)
+    assert spark.table(held.full).select(tables.PART).distinct().count() == 1

@@ -10,13 +10,21 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Spread of rows whose join key is null, so that they do not all land in one task.
 NULL_KEY_BUCKETS = 256
 # Points of a range that share a join key.
 RANGE_BUCKET = 1024
+# Ids of a dimension in several roles that the driver and a task hold with their values.
+ROLE_IDS = 100_000
+# Roles that are joined one by one, and bytes of what they are joined with; the JVM does not compile more joins above a wide fact.
+JOINED_ROLES, JOINED_BYTES = 4, 2 << 20
 
 
 def hinted(df: DataFrame, strategy: str | None) -> DataFrame:
@@ -81,28 +89,78 @@ def resolve_roles(
 
     The result is that of one left join per role: a repeated dimension key multiplies the fact's
     rows, a null or unknown id gives null. One join per role would move the wide fact each time.
-    Instead the distinct combinations of ids are unpivoted to narrow ``(combination, id)`` rows,
-    looked up by one join and folded back per combination; the fact meets the result once.
+    The ids that the fact names are looked up once, by a join that ``strategy`` may name. Up to
+    ``ROLE_IDS`` of them the fact stays where it is: what was found is broadcast to a few roles, or searched
+    as a sorted list in the fact's tasks by many roles and under a strategy. Above that the fact is moved once.
     """
     side = dimension.select(F.col(dimension_key).alias("__id"), F.struct(F.col(value).alias("value")).alias("__value"))
+    side = hinted(side.dropna(subset=["__id"]), strategy)
+    if all(isinstance(fact.schema[c].dataType, T.IntegralType) for c in roles):
+        ids = fact.select(F.explode(F.array_distinct(F.array(*roles))).alias("id")).dropna().distinct()
+        known = ids.join(side, F.col("id") == F.col("__id"), "inner").groupBy("id").agg(F.collect_list("__value").alias("found"))
+        held = known.select(F.col("id").cast("bigint").alias("id"), "found").limit(ROLE_IDS + 1).toArrow()
+        if held.num_rows <= ROLE_IDS:
+            return _by_id(fact, held.sort_by("id").combine_chunks(), known.schema["found"].dataType, roles, strategy)
+    return _by_combination(fact, side, roles, strategy)
+
+
+def _by_id(fact: DataFrame, held: pa.Table, kind: T.ArrayType, roles: Mapping[str, str], strategy: str | None) -> DataFrame:
+    """Roles from the sorted table ``held`` of ids with all their values, without moving the fact."""
+    if strategy is None and len(roles) <= JOINED_ROLES and held.nbytes <= JOINED_BYTES:
+        side = fact.sparkSession.createDataFrame(held, T.StructType().add("id", T.LongType()).add("found", kind))
+        found = fact
+        for i, column in enumerate(roles):
+            one = side.select(F.col("id").alias(f"__id_{i}"), F.col("found").alias(f"__found_{i}"))
+            found = found.join(one, F.col(column) == F.col(f"__id_{i}"), "left")
+    else:
+        ids, lists = held["id"].to_numpy(), held["found"].combine_chunks()
+
+        def sought(*columns: pa.Array) -> pa.Array:
+            each = []
+            for column in columns:
+                wanted = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                at = np.searchsorted(ids, wanted)
+                known = np.asarray(column.is_valid()) & (at < len(ids))
+                known[known] = ids[at[known]] == wanted[known]
+                each.append(lists.take(pa.array(at, mask=~known)))
+            return pa.StructArray.from_arrays(each, [f"f{i}" for i in range(len(each))])
+
+        kinds = T.StructType([T.StructField(f"f{i}", kind) for i in range(len(roles))])
+        found = fact.withColumn("__sought", F.arrow_udf(sought, kinds)(*roles))
+        found = found.select(*fact.columns, *[F.col(f"__sought.f{i}").alias(f"__found_{i}") for i in range(len(roles))])
+    places = {output: F.col(f"__found_{i}") for i, output in enumerate(roles.values())}
+    if all(n == 1 for n in pc.list_value_length(held["found"]).to_pylist()):
+        return found.select(*fact.columns, *[F.get(at, F.lit(0))["value"].alias(output) for output, at in places.items()])
+    return _all_matches(found.select(*fact.columns, *[at.alias(output) for output, at in places.items()]), roles).select(*fact.columns, *roles.values())
+
+
+def _all_matches(found: DataFrame, roles: Mapping[str, str]) -> DataFrame:
+    """A row for every match of every role; almost always one."""
+    for output in roles.values():
+        others = [F.col(c) for c in found.columns if c != output]
+        found = found.select(*others, F.explode_outer(output).alias("__one")).select(*others, F.col("__one.value").alias(output))
+    return found
+
+
+def _by_combination(fact: DataFrame, side: DataFrame, roles: Mapping[str, str], strategy: str | None) -> DataFrame:
+    """Roles for more ids than a task can hold.
+
+    The distinct combinations of ids are unpivoted to narrow ``(combination, id)`` rows,
+    looked up by one join and folded back per combination; the fact meets the result once.
+    """
     keyed = fact.withColumn("__ids", F.struct(*roles))
     combinations = keyed.select("__ids").distinct()
     narrow = combinations.select(
         "__ids", F.explode(F.array_distinct(F.array(*[F.col(f"__ids.{c}") for c in roles]))).alias("id")
     ).dropna(subset=["id"])
-    found = narrow.join(hinted(side.dropna(subset=["__id"]), strategy), F.col("id") == F.col("__id"), "inner")
+    found = narrow.join(side, F.col("id") == F.col("__id"), "inner")
     folded = found.groupBy("__ids").agg(
         *[
             F.collect_list(F.when(F.col("id") == F.col(f"__ids.{column}"), F.col("__value"))).alias(output)
             for column, output in roles.items()
         ]
     )
-    # Every match of every role; almost always one.
-    for output in roles.values():
-        others = [F.col(c) for c in folded.columns if c != output]
-        folded = folded.select(*others, F.explode_outer(output).alias("__one")).select(
-            *others, F.col("__one.value").alias(output)
-        )
+    folded = _all_matches(folded, roles)
     return keyed.join(hinted(folded, strategy), "__ids", "left").select(*fact.columns, *roles.values())
 
 

@@ -49,6 +49,43 @@ def test_roles_equal_one_left_join_each(spark, rows, tmp_path, strategy):
     assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) == (strategy is None)
 
 
+@pytest.mark.parametrize("strategy, roles, repeated", [("merge", 2, True), ("merge", 2, False), (None, 6, True), (None, 6, False), (None, 2, True)])
+def test_roles_do_not_move_the_fact(spark, rows, monkeypatch, strategy, roles, repeated):
+    """Whatever the combinations, only ids are shuffled; with more ids than a task may hold the result is the same."""
+    names = [f"r{i}" for i in range(roles)]
+    ids = [*range(40), None, 2**40]
+    values = [(n, *[ids[(n * (i + 3)) % len(ids)] for i in range(roles)]) for n in range(200)]
+    fact = spark.createDataFrame(values, "n int, " + ", ".join(f"{r} long" for r in names)).coalesce(1)
+    people = [(i, f"p{i}" if i % 7 else None) for i in range(0, 60, 2)] + [(None, "none")] + [(4, "again")] * repeated
+    side = spark.createDataFrame(people, "id long, name string")
+    outputs = {r: f"{r}_name" for r in names}
+    got = joins.resolve_roles(fact, side, outputs, "id", "name", strategy)
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == [*fact.columns, *outputs.values()]
+    if roles == 2:
+        found = {i: [v for j, v in people if j == i] or [None] for i in ids}
+        found[None] = [None]
+        assert rows(got) == sorted([(n, a, b, x, y) for n, a, b in values for x in found[a] for y in found[b]], key=str)
+    monkeypatch.setattr(joins, "ROLE_IDS", 3)
+    assert rows(joins.resolve_roles(fact, side, outputs, "id", "name", strategy)) == rows(got)
+
+
+def test_a_wide_fact_is_not_sorted_for_its_join(spark, rows, tmp_path):
+    """Where nothing may be broadcast, adaptive execution hashes the dimension instead of sorting the fact."""
+    fact = spark.range(2000).selectExpr("id % 90 AS k", "id AS n")
+    spark.range(60).selectExpr("id AS k", "concat('p', id) AS person").write.parquet(str(tmp_path / "people"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = joins.left_enrich(fact, spark.read.parquet(str(tmp_path / "people")), {"k": "k"}, ["person"])
+        assert rows(found) == sorted([(n % 90, n, f"p{n % 90}" if n % 90 < 60 else None) for n in range(2000)], key=str)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    final = plan.split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+
+
 @pytest.mark.parametrize("bucket", [1, 7, 1024])
 def test_first_covering_range(spark, bucket):
     ranges = [("u", 2, 5, 40, 7), ("u", 1, 20, 25, 8), ("u", 3, 30, 60, 9), ("v", 1, -12, -3, 4)]
